@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from citystream import schemas
 from citystream.functions import exact as X
-from citystream.operators import energy
+from citystream.operators import alerts, energy, enrich, progress, quality
 from citystream.plans import oracle as O
-from citystream.sources import feeds, tables
+from citystream.sources import feeds, kafka, lookups, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -65,3 +67,144 @@ def ward_energy_1m(spark, sf_dir):
           f"SELECT * FROM ({_ward_energy_sql(900_000)}) ORDER BY ward_id, window_start LIMIT 20")
 def ward_energy_preview(spark, sf_dir):
     return energy.preview(ward_energy_15m(spark, sf_dir), 20)
+
+
+# ------------------------------------------------------------ air-quality alerts
+
+@register("aqi_alerts", O.with_feeds("air_quality") + """
+SELECT 'AQI_EMERGENCY' AS incident_type, sensor_id, zone, aqi, timestamp_ms, seq
+FROM air_quality WHERE aqi > 300""")
+def aqi_alerts(spark, sf_dir):
+    return alerts.aqi_alerts(feed(spark, sf_dir, "air_quality"))
+
+
+# ------------------------------------------------------------ validation / DLQ
+
+_REASON_SQL = """CASE WHEN aqi IS NULL THEN 'NULL_AQI_VALUE'
+            WHEN NOT (aqi BETWEEN 0 AND 500) THEN 'AQI_OUT_OF_RANGE' END"""
+_CHECKED = O.with_feeds("air_quality", extra=f"""checked AS (
+  SELECT *, {_REASON_SQL} AS error_reason FROM air_quality)""")
+
+
+def _report_sql() -> str:
+    return f"""count(*) AS total_processed,
+       count(*) FILTER (WHERE error_reason IS NOT NULL) AS total_failed,
+       count(*) FILTER (WHERE error_reason = 'NULL_AQI_VALUE') AS null_aqi_count,
+       count(*) FILTER (WHERE error_reason = 'AQI_OUT_OF_RANGE') AS out_of_range_count,
+       CASE WHEN count(*) > 0
+            THEN round_even(count(*) FILTER (WHERE error_reason IS NOT NULL) / count(*) * 100.0, 1)
+            ELSE 0.0 END AS failure_pct"""
+
+
+@register("dlq_records", _CHECKED + """
+SELECT sensor_id, zone, pm25, pm10, no2, aqi, "timestamp", seq, error_reason,
+       'city.air_quality' AS source_topic
+FROM checked WHERE error_reason IS NOT NULL""")
+def dlq_records(spark, sf_dir):
+    return quality.dead_letters(feed(spark, sf_dir, "air_quality"))
+
+
+@register("valid_records", _CHECKED + """
+SELECT sensor_id, zone, pm25, pm10, no2, aqi, "timestamp", seq, timestamp_ms
+FROM checked WHERE error_reason IS NULL""")
+def valid_records(spark, sf_dir):
+    return quality.valid_records(feed(spark, sf_dir, "air_quality")).drop("event_time")
+
+
+@register("dlq_by_reason", _CHECKED + """
+SELECT error_reason, count(*) AS failed_count
+FROM checked WHERE error_reason IS NOT NULL GROUP BY error_reason""")
+def dlq_by_reason(spark, sf_dir):
+    return quality.failures_by_reason(feed(spark, sf_dir, "air_quality"))
+
+
+@register("dlq_summary", _CHECKED + f"SELECT {_report_sql()} FROM checked")
+def dlq_summary(spark, sf_dir):
+    return quality.summary(feed(spark, sf_dir, "air_quality"))
+
+
+@register("dlq_5min", _CHECKED + f"""
+SELECT {O.bound('timestamp_ms - timestamp_ms % 300000')} AS window_start,
+       {O.bound('timestamp_ms - timestamp_ms % 300000 + 300000')} AS window_end,
+       {_report_sql()}
+FROM checked GROUP BY timestamp_ms - timestamp_ms % 300000""")
+def dlq_5min(spark, sf_dir):
+    return quality.windowed_summary(feed(spark, sf_dir, "air_quality"), "5 minutes")
+
+
+@register("feed_quality", O.with_feeds("air_quality") + """
+SELECT zone, count(*) AS event_count, count_if(aqi IS NULL) AS null_aqi_count,
+       CASE WHEN count(*) > 0 THEN round_even(count_if(aqi IS NULL) / count(*) * 100.0, 1)
+            ELSE 0.0 END AS null_aqi_pct
+FROM air_quality GROUP BY ROLLUP (zone)""")
+def feed_quality(spark, sf_dir):
+    return quality.null_rate(feed(spark, sf_dir, "air_quality"))
+
+
+# ------------------------------------------------------------ enrichment
+
+@register("bus_enriched", O.with_feeds("bus_gps", extra=O.ROUTE_SCHEDULE) + """
+SELECT b.bus_id, b.route_id, b.lat, b.lon, b.speed_kmh, b.occupancy_pct, b."timestamp",
+       b.seq, b.timestamp_ms,
+       coalesce(s.route_name, 'UNKNOWN') AS route_name,
+       coalesce(s.scheduled_arrival_time, 'N/A') AS scheduled_arrival_time,
+       coalesce(s.terminal, 'N/A') AS terminal
+FROM bus_gps b LEFT JOIN route_schedule s ON b.route_id = s.route_id""")
+def bus_enriched(spark, sf_dir):
+    bus = feed(spark, sf_dir, "bus_gps").drop("event_time")
+    return enrich.enrich_bus(bus, lookups.route_schedule_side(spark))
+
+
+@register("bus_enriched_csv", O.with_feeds("bus_gps", extra=O.ROUTE_SCHEDULE) + """
+SELECT b.bus_id, b.route_id, b.seq,
+       coalesce(s.route_name, 'UNKNOWN') AS route_name,
+       coalesce(s.scheduled_arrival_time, 'N/A') AS scheduled_arrival_time,
+       coalesce(s.terminal, 'N/A') AS terminal
+FROM bus_gps b LEFT JOIN route_schedule s ON b.route_id = s.route_id""")
+def bus_enriched_csv(spark, sf_dir):
+    """Same join with the schedule read from the bundled CSV file (size-checked
+    before broadcast, last duplicate wins)."""
+    bus = feed(spark, sf_dir, "bus_gps").select("bus_id", "route_id", "seq")
+    return enrich.enrich_bus(bus, lookups.route_schedule_side(spark, lookups.ROUTE_SCHEDULE_CSV))
+
+
+# ------------------------------------------------------------ topic plumbing
+
+def _partition_sql(key: str, n: int = 3) -> str:
+    return f"CAST(CAST(regexp_extract({key}, '([0-9]+)$', 1) AS BIGINT) % {n} AS INTEGER)"
+
+
+@register("feed_progress", O.with_feeds("signals", extra=f"""per_partition AS (
+  SELECT {_partition_sql('junction_id')} AS "partition", count(*) AS messages, max(seq) AS last_offset
+  FROM signals GROUP BY 1)""") + """
+SELECT g.consumer_group, p."partition", p.messages, p.last_offset,
+       p.messages // g.report_interval AS progress_reports
+FROM per_partition p
+CROSS JOIN (VALUES ('HIGH_PRIORITY', 20), ('STANDARD_PRIORITY', 5)) AS g(consumer_group, report_interval)""")
+def feed_progress(spark, sf_dir):
+    env = kafka.envelope(feed(spark, sf_dir, "signals"), "signals")
+    return progress.group_progress(env)
+
+
+@register("decode_feed", O.with_feeds("air_quality") + f"""
+SELECT sensor_id, zone, pm25, pm10, no2, aqi, "timestamp", seq,
+       {_partition_sql('sensor_id')} AS "partition",
+       timestamp_ms AS event_time_ms, CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM air_quality""")
+def decode_feed(spark, sf_dir):
+    env = kafka.envelope(feed(spark, sf_dir, "air_quality"), "air_quality")
+    dec = kafka.decode(env, "air_quality")
+    return dec.select(*schemas.AIR_QUALITY.fieldNames(), "seq", "partition",
+                      F.unix_millis("event_time").alias("event_time_ms"), kafka.CORRUPT)
+
+
+@register("decode_meters", O.with_feeds("smart_meters") + f"""
+SELECT meter_id, ward_id, kwh_reading, voltage, power_factor, "timestamp", seq,
+       {_partition_sql('ward_id')} AS "partition",
+       timestamp_ms AS event_time_ms
+FROM smart_meters""")
+def decode_meters(spark, sf_dir):
+    env = kafka.envelope(feed(spark, sf_dir, "smart_meters"), "smart_meters")
+    dec = kafka.decode(env, "smart_meters")
+    return dec.select(*schemas.SMART_METERS.fieldNames(), "seq", "partition",
+                      F.unix_millis("event_time").alias("event_time_ms"))
