@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from citystream import schemas
 from citystream.functions import exact as X
-from citystream.operators import alerts, energy, enrich, progress, quality
+from citystream.operators import advisory, alerts, energy, enrich, progress, quality
 from citystream.plans import oracle as O
 from citystream.sources import feeds, kafka, lookups, tables
 
@@ -208,3 +208,62 @@ def decode_meters(spark, sf_dir):
     dec = kafka.decode(env, "smart_meters")
     return dec.select(*schemas.SMART_METERS.fieldNames(), "seq", "partition",
                       F.unix_millis("event_time").alias("event_time_ms"))
+
+
+# ------------------------------------------------------------ rolling AQI / advisories
+
+_AQ_U = f"sum({X.sql_units('aqi')})"
+_WINDOWED_AQ = O.with_feeds("air_quality", extra="""aq_windows AS (
+  SELECT a.zone, a.aqi, a.timestamp_ms - a.timestamp_ms % 60000 - r.range * 60000 AS ws
+  FROM air_quality a CROSS JOIN range(10) r)""")
+
+
+@register("zone_rolling_aqi", _WINDOWED_AQ + f"""
+SELECT zone, {O.bound('ws')} AS window_start, {O.bound('ws + 600000')} AS window_end,
+       {X.sql_rounded_mean(_AQ_U, 'count(aqi)')} AS rolling_avg_aqi,
+       count(aqi) AS aqi_readings
+FROM aq_windows GROUP BY zone, ws""")
+def zone_rolling_aqi(spark, sf_dir):
+    return advisory.rolling_aqi(feed(spark, sf_dir, "air_quality"))
+
+
+_ADVISORY_SQL = (_WINDOWED_AQ.rstrip() + ",\n" + O.ZONE_PROFILE + ",\n" + f"""rolling AS (
+  SELECT zone, ws, {X.sql_rounded_mean(_AQ_U, 'count(aqi)')} AS avg_aqi
+  FROM aq_windows GROUP BY zone, ws
+  HAVING {X.sql_mean_above(_AQ_U, 'count(aqi)', 150.0)})
+""")
+
+
+@register("health_advisory", _ADVISORY_SQL + f"""
+SELECT r.zone, {O.bound('r.ws')} AS window_start, {O.bound('r.ws + 600000')} AS window_end,
+       r.avg_aqi AS rolling_avg_aqi, z.population, z.number_of_schools, r.avg_aqi AS alert_level
+FROM rolling r JOIN zone_profile z ON r.zone = z.zone""")
+def health_advisory(spark, sf_dir):
+    return advisory.health_advisories(feed(spark, sf_dir, "air_quality"),
+                                      lookups.zone_profile_side(spark))
+
+
+@register("health_advisory_csv", _ADVISORY_SQL + f"""
+SELECT r.zone, {O.bound('r.ws')} AS window_start, r.avg_aqi AS rolling_avg_aqi,
+       z.population, z.number_of_schools
+FROM rolling r JOIN zone_profile z ON r.zone = z.zone""")
+def health_advisory_csv(spark, sf_dir):
+    """Advisories with the zone profile read from the bundled CSV (header,
+    declared schema), broadcast behind a row-count check."""
+    adv = advisory.health_advisories(feed(spark, sf_dir, "air_quality"),
+                                     lookups.zone_profile_side(spark, lookups.ZONE_PROFILE_CSV))
+    return adv.select("zone", "window_start", "rolling_avg_aqi", "population", "number_of_schools")
+
+
+@register("encode_kafka", _ADVISORY_SQL + f"""
+SELECT r.zone AS "key",
+       '{{"zone":"' || r.zone || '","window_start":"' || {O.bound('r.ws')}
+       || '","window_end":"' || {O.bound('r.ws + 600000')}
+       || '","rolling_avg_aqi":' || CAST(r.avg_aqi AS VARCHAR)
+       || ',"population":' || CAST(z.population AS VARCHAR)
+       || ',"number_of_schools":' || CAST(z.number_of_schools AS VARCHAR)
+       || ',"alert_level":' || CAST(r.avg_aqi AS VARCHAR) || '}}' AS "value"
+FROM rolling r JOIN zone_profile z ON r.zone = z.zone""")
+def encode_kafka(spark, sf_dir):
+    """Advisories as Kafka records: key = zone, value = JSON text."""
+    return advisory.advisory_records(health_advisory(spark, sf_dir))
