@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from citystream import schemas
 from citystream.functions import exact as X
-from citystream.operators import advisory, alerts, energy, enrich, progress, quality
+from citystream.operators import advisory, alerts, bunching, energy, enrich, progress, quality
+from citystream.operators import gridlock as gridlock_op
+from citystream.operators import incidents as incidents_op
 from citystream.plans import oracle as O
 from citystream.sources import feeds, kafka, lookups, tables
 
@@ -267,3 +269,114 @@ FROM rolling r JOIN zone_profile z ON r.zone = z.zone""")
 def encode_kafka(spark, sf_dir):
     """Advisories as Kafka records: key = zone, value = JSON text."""
     return advisory.advisory_records(health_advisory(spark, sf_dir))
+
+
+# ------------------------------------------------------------ gridlock
+
+_GRIDLOCK_CTE = """gl_flag AS (
+  SELECT junction_id, zone, seq, timestamp_ms, coalesce(avg_wait_sec, 0) > 180 AS breach FROM signals),
+gl_run AS (
+  SELECT *, sum(CASE WHEN breach THEN 0 ELSE 1 END)
+              OVER (PARTITION BY junction_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS g
+  FROM gl_flag),
+gl_pos AS (
+  SELECT *, row_number() OVER (PARTITION BY junction_id, g ORDER BY seq) AS rn
+  FROM gl_run WHERE breach),
+gridlock AS (
+  SELECT 'TRAFFIC_GRIDLOCK' AS incident_type, junction_id, zone, timestamp_ms, seq,
+         'Average wait time > 180s for 3 consecutive cycles' AS message
+  FROM gl_pos WHERE rn % 3 = 0)"""
+
+
+@register("gridlock", O.with_feeds("signals", extra=_GRIDLOCK_CTE) + "SELECT * FROM gridlock")
+def gridlock(spark, sf_dir):
+    return gridlock_op.gridlock_alerts(feed(spark, sf_dir, "signals"))
+
+
+# ------------------------------------------------------------ bus bunching
+
+def _haversine_sql(lat1, lon1, lat2, lon2) -> str:
+    a = (f"pow(sin(radians({lat2} - {lat1}) / 2.0), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+         f" * pow(sin(radians({lon2} - {lon1}) / 2.0), 2)")
+    return f"(6371000.0 * 2.0 * atan2(sqrt({a}), sqrt(greatest(0.0, 1.0 - ({a})))))"
+
+
+_PAIR_CTE = f"""bb_buses AS (SELECT DISTINCT route_id, bus_id FROM bus_gps),
+bb_x AS (
+  SELECT e.route_id, e.bus_id, b.bus_id AS other_bus_id, e.seq, e.timestamp_ms, e.lat, e.lon
+  FROM bus_gps e JOIN bb_buses b ON e.route_id = b.route_id AND e.bus_id <> b.bus_id),
+bb_eval AS (
+  SELECT x.*, o.lat AS olat, o.lon AS olon
+  FROM bb_x x ASOF JOIN bus_gps o
+    ON x.route_id = o.route_id AND x.other_bus_id = o.bus_id AND x.seq > o.seq),
+bb_dist AS (
+  SELECT route_id, bus_id, other_bus_id, seq, timestamp_ms,
+         least(bus_id, other_bus_id) AS p1, greatest(bus_id, other_bus_id) AS p2,
+         {_haversine_sql('lat', 'lon', 'olat', 'olon')} AS distance
+  FROM bb_eval)"""
+
+_BUNCHING_CTE = _PAIR_CTE + """,
+bb_run AS (
+  SELECT *, sum(CASE WHEN distance <= 200 THEN 0 ELSE 1 END)
+              OVER (PARTITION BY route_id, p1, p2 ORDER BY seq ROWS UNBOUNDED PRECEDING) AS run
+  FROM bb_dist),
+bb_near AS (
+  SELECT *, row_number() OVER (PARTITION BY route_id, p1, p2, run ORDER BY seq) AS rn
+  FROM bb_run WHERE distance <= 200),
+bb_fold AS (
+  SELECT route_id, p1, p2, run, rn, timestamp_ms AS start, false AS fire,
+         bus_id, other_bus_id, seq, timestamp_ms, distance
+  FROM bb_near WHERE rn = 1
+  UNION ALL
+  SELECT n.route_id, n.p1, n.p2, n.run, n.rn,
+         CASE WHEN f.start IS NULL THEN n.timestamp_ms
+              WHEN n.timestamp_ms - f.start > 300000 THEN NULL
+              ELSE f.start END,
+         f.start IS NOT NULL AND n.timestamp_ms - f.start > 300000,
+         n.bus_id, n.other_bus_id, n.seq, n.timestamp_ms, n.distance
+  FROM bb_fold f JOIN bb_near n
+    ON n.route_id = f.route_id AND n.p1 = f.p1 AND n.p2 = f.p2 AND n.run = f.run AND n.rn = f.rn + 1),
+bunching AS (
+  SELECT 'BUS_BUNCHING' AS incident_type, route_id, bus_id AS bus_1, other_bus_id AS bus_2,
+         timestamp_ms, seq, round(distance, 2) AS distance_m
+  FROM bb_fold WHERE fire)"""
+
+
+@register("bus_pair_distances", O.with_feeds("bus_gps", extra=_PAIR_CTE) + """
+SELECT route_id, bus_id, other_bus_id, seq, timestamp_ms, round(distance, 2) AS distance_m
+FROM bb_dist WHERE distance <= 200""")
+def bus_pair_distances(spark, sf_dir):
+    return bunching.near_pair_distances(feed(spark, sf_dir, "bus_gps"))
+
+
+@register("bus_bunching", O.with_feeds("bus_gps", extra=_BUNCHING_CTE, recursive=True)
+          + "SELECT * FROM bunching")
+def bus_bunching(spark, sf_dir):
+    return bunching.bunching_alerts(feed(spark, sf_dir, "bus_gps"))
+
+
+# ------------------------------------------------------------ unified incidents
+
+_AQI_CTE = """aqi_incidents AS (
+  SELECT 'AQI_EMERGENCY' AS incident_type, sensor_id, zone, aqi, timestamp_ms, seq
+  FROM air_quality WHERE aqi > 300)"""
+
+
+@register("incidents", O.with_feeds("air_quality", "signals", "bus_gps",
+                                    extra=",\n".join([_AQI_CTE, _GRIDLOCK_CTE, _BUNCHING_CTE]),
+                                    recursive=True) + """
+SELECT incident_type, sensor_id, zone, aqi, NULL::VARCHAR AS junction_id, NULL::VARCHAR AS message,
+       NULL::VARCHAR AS route_id, NULL::VARCHAR AS bus_1, NULL::VARCHAR AS bus_2,
+       NULL::DOUBLE AS distance_m, timestamp_ms, seq FROM aqi_incidents
+UNION ALL
+SELECT incident_type, NULL, zone, NULL, junction_id, message, NULL, NULL, NULL, NULL,
+       timestamp_ms, seq FROM gridlock
+UNION ALL
+SELECT incident_type, NULL, NULL, NULL, NULL, NULL, route_id, bus_1, bus_2, distance_m,
+       timestamp_ms, seq FROM bunching""")
+def incidents(spark, sf_dir):
+    ev = tables.events(spark, sf_dir)
+    return incidents_op.unified(
+        alerts.aqi_alerts(feeds.air_quality(ev)),
+        gridlock_op.gridlock_alerts(feeds.signals(ev)),
+        bunching.bunching_alerts(feeds.bus_gps(ev)))

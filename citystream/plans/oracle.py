@@ -66,11 +66,11 @@ FEED_CTES = {
 }
 
 
-def with_feeds(*names: str, extra: str = "") -> str:
+def with_feeds(*names: str, extra: str = "", recursive: bool = False) -> str:
     ctes = [EV] + [FEED_CTES[n] for n in names]
     if extra:
         ctes.append(extra)
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
 
 def _values(rows) -> str:
