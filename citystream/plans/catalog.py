@@ -19,7 +19,9 @@ from citystream.operators import advisory, alerts, bunching, energy, enrich, pro
 from citystream.operators import gridlock as gridlock_op
 from citystream.operators import incidents as incidents_op
 from citystream.plans import oracle as O
+from citystream.session import scratch_path
 from citystream.sources import feeds, kafka, lookups, tables
+from citystream.streaming import jobs as stream_jobs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -380,3 +382,77 @@ def incidents(spark, sf_dir):
         alerts.aqi_alerts(feeds.air_quality(ev)),
         gridlock_op.gridlock_alerts(feeds.signals(ev)),
         bunching.bunching_alerts(feeds.bus_gps(ev)))
+
+
+# ------------------------------------------------------------ lake
+
+@register("ward_energy_lake", _ward_energy_sql(900_000))
+def ward_energy_lake(spark, sf_dir):
+    """Readings landed in the date/ward-partitioned Parquet lake, then the
+    15-minute totals computed from the lake."""
+    path = scratch_path(spark, "smart_meters_lake")
+    energy.write_lake(feed(spark, sf_dir, "smart_meters"), path)
+    return energy.ward_energy(energy.read_lake(spark, path), "15 minutes")
+
+
+@register("ward_energy_lake_day", _ward_energy_sql(900_000).replace(
+    "FROM smart_meters\n", "FROM smart_meters WHERE CAST(event_time AS DATE) = DATE '2024-01-01'"
+    " AND ward_id IN ('ward_1', 'ward_2')\n"))
+def ward_energy_lake_day(spark, sf_dir):
+    """Partition pruning: one day and two wards read from the lake (only
+    matching date=/ward_id= directories are listed and scanned)."""
+    path = scratch_path(spark, "smart_meters_lake")
+    energy.write_lake(feed(spark, sf_dir, "smart_meters"), path)
+    lake = energy.read_lake(spark, path).filter(
+        (F.col("date") == F.lit("2024-01-01").cast("date")) & F.col("ward_id").isin("ward_1", "ward_2"))
+    return energy.ward_energy(lake, "15 minutes")
+
+
+# ------------------------------------------------------------ streams
+# Each replays the `events` table as the feed's topic, runs to the end
+# (availableNow) and returns the sink's content.
+
+def _replay(sf_dir: str) -> dict:
+    return {"path": sf_dir, "glob": "events.parquet"}
+
+
+_CLOSED_15M = _ward_energy_sql(900_000).replace(
+    "GROUP BY ward_id, timestamp_ms - timestamp_ms % 900000",
+    "GROUP BY ward_id, timestamp_ms - timestamp_ms % 900000\n"
+    "HAVING timestamp_ms - timestamp_ms % 900000 + 900000 <= "
+    "(SELECT max(timestamp_ms) FROM smart_meters) - 120000")
+
+
+@register("stream_ward_energy", _CLOSED_15M)
+def stream_ward_energy(spark, sf_dir):
+    return stream_jobs.ward_energy_stream(spark, _replay(sf_dir))
+
+
+@register("stream_health_advisory", ORACLE["health_advisory"])
+def stream_health_advisory(spark, sf_dir):
+    return stream_jobs.health_advisory_stream(spark, _replay(sf_dir))
+
+
+@register("stream_aqi_alerts", ORACLE["aqi_alerts"])
+def stream_aqi_alerts(spark, sf_dir):
+    return stream_jobs.aqi_alert_stream(spark, _replay(sf_dir))
+
+
+@register("stream_dlq", ORACLE["dlq_records"])
+def stream_dlq(spark, sf_dir):
+    return stream_jobs.dlq_stream(spark, _replay(sf_dir))
+
+
+@register("stream_enrich", ORACLE["bus_enriched"])
+def stream_enrich(spark, sf_dir):
+    return stream_jobs.enrich_stream(spark, _replay(sf_dir))
+
+
+@register("stream_gridlock", ORACLE["gridlock"])
+def stream_gridlock(spark, sf_dir):
+    return stream_jobs.gridlock_stream(spark, _replay(sf_dir))
+
+
+@register("stream_bus_bunching", ORACLE["bus_bunching"])
+def stream_bus_bunching(spark, sf_dir):
+    return stream_jobs.bunching_stream(spark, _replay(sf_dir))
