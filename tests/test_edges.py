@@ -102,7 +102,7 @@ def _bunch(spark, rows, **kw):
     return sorted((r.seq, r.bus_1, r.bus_2, r.timestamp_ms, r.distance_m) for r in out)
 
 
-KW = [{}, {"block_size": 2, "hot_rows": 2}, {"prefilter": False}]
+KW = [{}, {"block_size": 2, "hot_rows": 2}, {"prefilter": False}, {"long_run_rows": 1}]
 
 
 @pytest.mark.parametrize("kw", KW)
