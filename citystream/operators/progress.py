@@ -16,6 +16,11 @@ def group_progress(envelope: DataFrame, groups=GROUPS) -> DataFrame:
     per_partition = (envelope.groupBy("partition")
                      .agg(F.count(F.lit(1)).alias("messages"),
                           F.max("offset").alias("last_offset")))
+    return group_progress_from_counts(per_partition, groups)
+
+
+def group_progress_from_counts(per_partition: DataFrame, groups=GROUPS) -> DataFrame:
+    """(partition, messages, last_offset) -> one row per group and partition."""
     g = F.inline(F.array(*[F.struct(F.lit(name).alias("consumer_group"),
                                     F.lit(n).cast("bigint").alias("report_interval"))
                            for name, n in groups]))

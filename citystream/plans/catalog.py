@@ -456,3 +456,8 @@ def stream_gridlock(spark, sf_dir):
 @register("stream_bus_bunching", ORACLE["bus_bunching"])
 def stream_bus_bunching(spark, sf_dir):
     return stream_jobs.bunching_stream(spark, _replay(sf_dir))
+
+
+@register("stream_feed_progress", ORACLE["feed_progress"])
+def stream_feed_progress(spark, sf_dir):
+    return stream_jobs.progress_stream(spark, _replay(sf_dir))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from citystream.functions.exact import mean_above, rounded_mean, units
 from citystream.functions.time import bound_string
-from citystream.operators import advisory, alerts, energy, enrich, quality
+from citystream.operators import advisory, alerts, energy, enrich, progress, quality
 from citystream.session import scratch_path
 from citystream.sources import lookups
 from citystream.streaming import sinks
@@ -143,6 +143,22 @@ def enrich_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
     return _append_to_parquet(spark, out, "bus_enriched", trigger)
 
 
+def progress_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
+    """Per-partition message counts of the signals topic as a running
+    aggregate (update mode, upserted by partition), plus observed metrics on
+    the raw records (visible in each micro-batch's progress report)."""
+    from citystream.streaming.sources import topic_stream
+    env = topic_stream(spark, "signals", source).observe(
+        "signals_progress", F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset"))
+    counts = (env.groupBy("partition")
+                 .agg(F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset")))
+    path, ckpt = _locations(spark, "feed_progress")
+    sinks.run_to_end(sinks.start_foreach_batch(counts, sinks.batch_writer(path), ckpt,
+                                               "feed_progress", trigger, output_mode="update"))
+    final = sinks.latest_per_key(spark, path, ["partition"])
+    return progress.group_progress_from_counts(final)
+
+
 # ------------------------------------------------------------ keyed-state detectors
 
 def gridlock_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:

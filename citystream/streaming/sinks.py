@@ -79,3 +79,12 @@ def run_to_end(q: StreamingQuery) -> StreamingQuery:
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query of the session terminates (several
+    queries run side by side, e.g. lake ingest, console and aggregates)."""
+    if timeout_s is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(int(timeout_s))
