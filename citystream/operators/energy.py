@@ -41,19 +41,16 @@ def preview(agg: DataFrame, n: int = 20) -> DataFrame:
     return agg.orderBy("ward_id", "window_start").limit(n)
 
 
-LAKE_SALT = 8
-
-
-def write_lake(meters: DataFrame, path: str, salt: int = LAKE_SALT,
-               max_records_per_file: int = 5_000_000) -> None:
+def write_lake(meters: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
     """Land meter readings in a Parquet lake partitioned by (date, ward_id).
 
-    Rows are clustered by (date, ward_id, salt) before the write so each task
-    writes few directories, while `salt` spreads a hot ward-day across up to
-    `salt` writers instead of one."""
+    A rebalance on the partition columns clusters each (date, ward) into few
+    writers, and AQE sizes the write tasks from the measured shuffle: small
+    ward-days are coalesced into one task and a hot ward-day is split over
+    several (no fixed salt, so small inputs do not become thousands of tiny
+    files and large ones do not become one huge task)."""
     lake = with_lake_columns(meters).drop("seq", "timestamp_ms")
-    salted = F.pmod(F.xxhash64("meter_id", "timestamp"), F.lit(salt))
-    (lake.repartition(F.col("date"), F.col("ward_id"), salted)
+    (lake.hint("rebalance", "date", "ward_id")
          .write.mode("overwrite")
          .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("date", "ward_id")
