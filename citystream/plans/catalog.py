@@ -461,3 +461,8 @@ def stream_bus_bunching(spark, sf_dir):
 @register("stream_feed_progress", ORACLE["feed_progress"])
 def stream_feed_progress(spark, sf_dir):
     return stream_jobs.progress_stream(spark, _replay(sf_dir))
+
+
+@register("stream_incidents", ORACLE["incidents"])
+def stream_incidents(spark, sf_dir):
+    return stream_jobs.incident_stream(spark, _replay(sf_dir))

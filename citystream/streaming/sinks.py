@@ -47,10 +47,16 @@ def start_kafka(records: DataFrame, topic: str, checkpoint: str, name: str,
 
 
 def batch_writer(path: str, partition_by: list[str] | None = None,
-                 before_write: Callable[[DataFrame], DataFrame] | None = None):
+                 before_write: Callable[[DataFrame], DataFrame] | None = None,
+                 preview_order: list[str] | None = None, preview_rows: int = 20):
     """foreachBatch function writing each micro-batch under
-    `path/batch_id=<id>`, overwriting that directory on replay."""
+    `path/batch_id=<id>`, overwriting that directory on replay. With
+    `preview_order`, the first `preview_rows` rows of the batch in that order
+    are printed (a top-n, never the whole batch)."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        if preview_order:
+            print(f"--- batch {batch_id} ---")
+            batch_df.orderBy(*preview_order).show(preview_rows, truncate=False)
         out = before_write(batch_df) if before_write else batch_df
         (out.write.mode("overwrite")
             .partitionBy(*(partition_by or []))

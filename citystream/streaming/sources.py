@@ -34,8 +34,15 @@ def topic_stream(spark: SparkSession, feed_name: str, source: dict | None = None
     return kafka.envelope(feeds.feed(ev, feed_name), feed_name)
 
 
-def feed_stream(spark: SparkSession, feed_name: str, source: dict | None = None) -> DataFrame:
-    """Decoded, typed feed rows with `event_time`, `seq`, `timestamp_ms`."""
+def feed_stream(spark: SparkSession, feed_name: str, source: dict | None = None,
+                ingest_time_fallback: bool = False) -> DataFrame:
+    """Decoded, typed feed rows with `event_time`, `seq`, `timestamp_ms`.
+
+    With `ingest_time_fallback`, a record whose timestamp cannot be parsed
+    takes the broker's ingest time instead of NULL (and so is not a dead
+    letter)."""
     from pyspark.sql import functions as F
     dec = kafka.decode(topic_stream(spark, feed_name, source), feed_name)
+    if ingest_time_fallback:
+        dec = dec.withColumn("event_time", F.coalesce("event_time", "ingest_time"))
     return dec.withColumn("timestamp_ms", F.unix_millis("event_time"))

@@ -75,3 +75,22 @@ def test_lake_written_by_stream(spark, three_batches):
     df = spark.read.parquet(lake)
     assert df.columns[-2:] == ["date", "ward_id"]
     assert df.count() == 1000
+
+
+def test_incident_stream_over_three_batches(spark, con, three_batches):
+    problems, n, _ = compare(jobs.incident_stream(spark, three_batches), con, ORACLE["incidents"])
+    assert not problems, problems
+
+
+def test_ingest_time_fallback(spark):
+    from pyspark.sql import functions as F
+    from citystream import schemas
+    from citystream.sources import kafka
+    env = spark.createDataFrame(
+        [(bytearray(b"k"), bytearray(b'{"sensor_id":"S1","aqi":42,"timestamp":"garbage"}'),
+          "t", 0, 1, None)], schemas.KAFKA_ENVELOPE).withColumn(
+        "timestamp", F.timestamp_millis(F.lit(1704067200000)))
+    dec = kafka.decode(env, "air_quality")
+    assert dec.first().event_time is None
+    fixed = dec.withColumn("event_time", F.coalesce("event_time", "ingest_time"))
+    assert fixed.select(F.unix_millis("event_time")).first()[0] == 1704067200000
