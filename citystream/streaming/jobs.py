@@ -171,13 +171,14 @@ def gridlock_stream(spark: SparkSession, source: dict, trigger=None) -> DataFram
         return _append_to_parquet(spark, out, "gridlock", trigger)
 
 
-def bunching_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
+def bunching_stream(spark: SparkSession, source: dict, trigger=None,
+                    dense_max_buses: int | None = None) -> DataFrame:
     bus = feed_stream(spark, "bus_gps", source).select(
         "route_id", "bus_id", "lat", "lon", "timestamp_ms", "seq")
     with _rocksdb_state(spark):
         out = bus.groupBy("route_id").transformWithStateInPandas(
-            statefulProcessor=BunchingProcessor(), outputStructType=BUNCHING_OUT,
-            outputMode="Append", timeMode="None")
+            statefulProcessor=BunchingProcessor(dense_max_buses=dense_max_buses),
+            outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="None")
         res = _append_to_parquet(spark, out, "bus_bunching", trigger)
     return res.select("incident_type", "route_id", "bus_1", "bus_2", "timestamp_ms", "seq",
                       F.round("distance", 2).alias("distance_m"))

@@ -94,3 +94,9 @@ def test_ingest_time_fallback(spark):
     assert dec.first().event_time is None
     fixed = dec.withColumn("event_time", F.coalesce("event_time", "ingest_time"))
     assert fixed.select(F.unix_millis("event_time")).first()[0] == 1704067200000
+
+
+def test_bunching_stream_sparse_path(spark, con, three_batches):
+    out = jobs.bunching_stream(spark, three_batches, dense_max_buses=0)
+    problems, n, _ = compare(out, con, ORACLE["bus_bunching"])
+    assert not problems, problems
