@@ -46,15 +46,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream sinks and materialised tables.
 
-    Read from `spark.checkpoint.dir`; only when the session leaves it unset
-    (as in ad-hoc tests) do we set our own."""
-    root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    Read from `spark.checkpoint.dir`. Only a local session may leave it unset
+    (as in ad-hoc tests); on a cluster a folder of one machine would lose data."""
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF, None)
     if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is unset: name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="citystream-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
