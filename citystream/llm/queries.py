@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import packing, token_counts
+from citystream.llm import exact_dedup, language_id, packing, token_counts
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -27,8 +27,31 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT)
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predictions(docs, language_id.fitted(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts)
+    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts, op6_exact_dedup, op7_language_id)
 }
 
-ORACLE: dict[str, str] = {}
+#: Of every query that SQL can express, the same rows from DuckDB.
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+            FROM documents),
+        g AS (
+            SELECT norm, count(*) AS group_size, max(n) AS most FROM d GROUP BY norm),
+        k AS (
+            SELECT d.norm, min(d.doc_id) AS keep_id
+            FROM d JOIN g ON d.norm = g.norm AND d.n = g.most GROUP BY d.norm)
+        SELECT d.doc_id, k.keep_id, g.group_size, d.doc_id = k.keep_id AS kept, sha256(d.norm) AS text_sha256
+        FROM d JOIN g ON d.norm = g.norm JOIN k ON d.norm = k.norm""",
+}
