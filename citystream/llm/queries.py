@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import exact_dedup, language_id, packing, token_counts
+from citystream.llm import exact_dedup, language_id, packing, simhash, token_counts
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 SEQUENCE_TOKENS = 2048
 TOKEN_LIMIT = 1024
 
+#: SimHash: words of a shingle, and bits that linked fingerprints may differ in.
+SHINGLE_WORDS = 4
+MOST_BITS = 4
+
 #: Documents and attention never bind before tokens do (a piece has a token at
 #: least, and squares of parts stay below the square of their sum).
 SEQUENCE = packing.Capacity(SEQUENCE_TOKENS, SEQUENCE_TOKENS, SEQUENCE_TOKENS ** 2)
@@ -36,8 +40,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(docs, language_id.fitted(docs))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MOST_BITS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts, op6_exact_dedup, op7_language_id)
+    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts, op6_exact_dedup, op7_language_id, op10_simhash_near_dedup)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.
