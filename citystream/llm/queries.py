@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import exact_dedup, language_id, packing, simhash, token_counts
+from citystream.llm import exact_dedup, language_id, packing, simhash, substring_dedup, token_counts
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -18,6 +18,9 @@ TOKEN_LIMIT = 1024
 SHINGLE_WORDS = 4
 MOST_BITS = 4
 
+#: Words of a window of substring dedup.
+WINDOW_WORDS = 13
+
 #: Documents and attention never bind before tokens do (a piece has a token at
 #: least, and squares of parts stay below the square of their sum).
 SEQUENCE = packing.Capacity(SEQUENCE_TOKENS, SEQUENCE_TOKENS, SEQUENCE_TOKENS ** 2)
@@ -40,12 +43,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(docs, language_id.fitted(docs))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removals(table(spark, sf_dir, "documents"), WINDOW_WORDS)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MOST_BITS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts, op6_exact_dedup, op7_language_id, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op10_simhash_near_dedup)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.
@@ -62,4 +69,20 @@ ORACLE: dict[str, str] = {
             FROM d JOIN g ON d.norm = g.norm AND d.n = g.most GROUP BY d.norm)
         SELECT d.doc_id, k.keep_id, g.group_size, d.doc_id = k.keep_id AS kept, sha256(d.norm) AS text_sha256
         FROM d JOIN g ON d.norm = g.norm JOIN k ON d.norm = k.norm""",
+    "op8_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+        f AS (SELECT win, min(doc_id) AS first_id FROM s GROUP BY win),
+        gone AS (
+            SELECT DISTINCT doc_id, i + k AS j
+            FROM s JOIN f USING (win), range(0, 13) r(k) WHERE s.doc_id > f.first_id),
+        p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+        kept AS (
+            SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.j) AS t, count(*) AS n
+            FROM p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.j = p.j WHERE g.j IS NULL GROUP BY p.doc_id)
+        SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
 }
