@@ -1,25 +1,54 @@
-"""The corpus pipeline: stages over `documents`, each on all that the one before kept."""
+"""The corpus pipeline: stages over `documents`, each on all that the one before kept.
+
+Language ID drops texts without a letter and those whose best language scores
+below MIN_SCORE; exact dedup keeps one document of equal texts; SimHash
+near-dedup keeps one document of each linked group; substring dedup takes words
+of repeated windows out of the texts (rows stay, n_chars follows the text);
+best-fit packing lays the documents out in sequences. All but the last return
+the columns of their input."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import packing, queries
+from citystream.llm import exact_dedup, language_id, packing, queries, simhash, substring_dedup
 from citystream.session import scratch_path
 from citystream.sources.tables import table
 
+#: Least probability of the best language. With four languages learnt, chance gives 0.25.
+MIN_SCORE = 0.3
+
+
+def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language_id.identified(docs, language_id.fitted(docs), MIN_SCORE)
+
+
+def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.first_of_groups(docs, queries.SHINGLE_WORDS, queries.MOST_BITS)
+
+
+def substring_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(docs, queries.WINDOW_WORDS, length_col="n_chars")
+
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens holding every document that is left."""
     return packing.pack(docs, public_tokenizers.path(queries.BYTE_BPE), queries.SEQUENCE)
 
 
 STAGES = [
+    ("language_id", language_identification),
+    ("exact_dedup", exact_deduplication),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("substring_dedup", substring_deduplication),
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: SQL can't express the tokenizer, the trained classifier and the packing.
+#: SQL can't express the trained classifier, the tokenizer and the packing.
 ORACLE_SQL = None
 
 
