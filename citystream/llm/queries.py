@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import exact_dedup, language_id, packing, simhash, substring_dedup, token_counts
+from citystream.llm import exact_dedup, language_id, packing, sharding, simhash, substring_dedup, token_counts, topk
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 SEQUENCE_TOKENS = 2048
 TOKEN_LIMIT = 1024
+SHARDS = 8
+
+#: Top-k search: scale of the vectors' whole numbers, divisor of query ids, results.
+VECTOR_SCALE, QUERY_EVERY, BEST = 256, 50, 5
 
 #: SimHash: words of a shingle, and bits that linked fingerprints may differ in.
 SHINGLE_WORDS = 4
@@ -30,6 +34,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), SEQUENCE)
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), VECTOR_SCALE, QUERY_EVERY, BEST)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT)
 
@@ -52,11 +64,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_best_fit_packing, op2_exact_top_k, op3_sharding, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op10_simhash_near_dedup)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.
 ORACLE: dict[str, str] = {
+    "op2_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
