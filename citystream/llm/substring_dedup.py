@@ -137,7 +137,7 @@ def batch_cells(hashes: np.ndarray, second: np.ndarray, ranks: np.ndarray, many:
 
 
 def repeated(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str) -> DataFrame:
-    """rank, hashes: windows of a document that also start in one of smaller rank."""
+    """rank, hash, second: windows of a document that also start in one of smaller rank."""
 
     def hashed(batches):
         held, n = [], 0
@@ -165,32 +165,29 @@ def repeated(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str)
             again = r > np.repeat(r[new], np.diff(np.append(np.flatnonzero(new), len(r))))
             known.append((h[again], second[again], r[again]))
         h, second, r = (np.concatenate(x) for x in zip(*known))
-        order = np.argsort(r, kind="stable")
-        h, second, r = h[order], second[order], r[order]
-        cuts = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, np.int64)
-        ends = np.append(cuts[1:], len(r)).astype(np.int64)
-        both = [np.stack((h[a:b], second[a:b])).tobytes() if at.extra else h[a:b].tobytes() for a, b in zip(cuts, ends)]
-        return pa.table({"rank": pa.array(r[cuts], pa.int64()), "hashes": pa.array(both, pa.binary())})
+        return pa.table({"rank": pa.array(r, pa.int64()), "hash": pa.array(h.view(np.int64), pa.int64()), "second": pa.array(second.view(np.int64), pa.int64())})
 
     own = docs.select(rank(F.col(id_col)).alias("rank"), F.col(text_col).alias("text"))
-    return own.mapInArrow(hashed, CELL).groupBy("bucket").applyInArrow(met, "rank long, hashes binary")
+    return own.mapInArrow(hashed, CELL).groupBy("bucket").applyInArrow(met, "rank long, hash long, second long")
 
 
-def covered(words: pa.Array, offsets: np.ndarray, found: list[list[bytes] | None], width: int, extra: int) -> np.ndarray:
+def covered(words: pa.Array, offsets: np.ndarray, found: pa.ListArray, width: int, extra: int) -> np.ndarray:
     """Whether each word is in a window whose hash is among those found for its text."""
     gone = np.zeros(len(words) + 1, np.int64)
-    some = [i for i, f in enumerate(found) if f]
-    if not some:
+    some = np.flatnonzero(np.asarray(pc.fill_null(pc.list_value_length(found), 0))) if len(found) else []
+    if not len(some):
         return gone[:-1] > 0
     h, second, first, text = window_hashes(words, offsets, width, extra)
     ends = np.searchsorted(text, np.arange(len(found) + 1))
     for i in some:
         a, b = ends[i], ends[i + 1]
+        own = found[int(i)].values
+        known = [np.asarray(own.field(k)).view(np.uint64) for k in (0, 1)]
         if extra:
-            pairs = {p for blob in found[i] for p in zip(*np.frombuffer(blob, np.uint64).reshape(2, -1).tolist())}
+            pairs = set(zip(*(k.tolist() for k in known)))
             hit = np.fromiter((p in pairs for p in zip(h[a:b].tolist(), second[a:b].tolist())), bool, b - a)
         else:
-            hit = np.isin(h[a:b], np.frombuffer(b"".join(found[i]), np.uint64))
+            hit = np.isin(h[a:b], known[0])
         gone[first[a:b][hit]] += 1
         np.subtract.at(gone, first[a:b][hit] + width, 1)
     return np.cumsum(gone)[:-1] > 0
@@ -198,12 +195,12 @@ def covered(words: pa.Array, offsets: np.ndarray, found: list[list[bytes] | None
 
 def answered(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str, name: str) -> DataFrame:
     """docs with the column `name`: the hashes found for each row, or null."""
-    found = repeated(docs, width, at, id_col, text_col).groupBy("rank").agg(F.collect_list("hashes").alias("hashes"))
+    found = repeated(docs, width, at, id_col, text_col).groupBy("rank").agg(F.collect_list(F.struct("hash", "second")).alias("hashes"))
     rows = docs.select(F.struct("*").alias("row"), rank(F.col(id_col)).alias("rank"))
     return rows.join(found, "rank", "left").select("row.*", F.col("hashes").alias(name))
 
 
-def kept_texts(texts: pa.Array, found: list, width: int, extra: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def kept_texts(texts: pa.Array, found: pa.ListArray, width: int, extra: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Kept words joined by one space, words, and removed words of each text."""
     words, offsets = A.words(texts)
     gone = covered(words, offsets, found, width, extra)
@@ -222,7 +219,7 @@ def removals(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
     def judge(batches):
         for batch in batches:
             for part, texts in A.slices(batch):
-                kept, words, removed = kept_texts(texts, A.column(part, "found").to_pylist(), width, at.extra)
+                kept, words, removed = kept_texts(texts, A.column(part, "found"), width, at.extra)
                 digests = [hashlib.sha256(t.encode()).hexdigest() for t in kept.to_pylist()]
                 yield pa.RecordBatch.from_arrays([A.column(part, "doc_id"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
@@ -241,7 +238,7 @@ def deduplicated(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
     def clean(batches):
         for batch in batches:
             for part, texts in A.slices(batch, text_col):
-                kept, _, removed = kept_texts(texts, A.column(part, name).to_pylist(), width, at.extra)
+                kept, _, removed = kept_texts(texts, A.column(part, name), width, at.extra)
                 changed = pa.array(removed > 0)
                 new = {text_col: kept}
                 if length_col:
