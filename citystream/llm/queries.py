@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import exact_dedup, language_id, packing, sharding, simhash, substring_dedup, token_counts, topk
+from citystream.llm import exact_dedup, language_id, licenses, packing, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 SEQUENCE_TOKENS = 2048
 TOKEN_LIMIT = 1024
 SHARDS = 8
@@ -42,6 +43,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT)
 
@@ -59,12 +64,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removals(table(spark, sf_dir, "documents"), WINDOW_WORDS)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MOST_BITS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_exact_top_k, op3_sharding, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_best_fit_packing, op2_exact_top_k, op3_sharding, op4_sentencepiece, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op9_license_scan,
+                         op10_simhash_near_dedup)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.
