@@ -75,8 +75,12 @@ def grams_of(words: list[str]) -> set[str]:
 def word_grams(line: Column) -> Column:
     """The line's distinct word n-grams, as grams_of gives them."""
     words = F.regexp_extract_all(F.lower(line), F.lit("[a-z0-9]+"), F.lit(0))
-    parts = [F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i, n=n: F.array_join(F.slice(words, i, n), " ")) for n in GRAMS]
-    return F.array_distinct(F.concat(*[F.when(F.size(words) >= n, p).otherwise(F.array().cast("array<string>")) for n, p in zip(GRAMS, parts)]))
+
+    def runs(n: int) -> Column:
+        own = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, own).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*map(runs, GRAMS)))
 
 
 @dataclass(frozen=True)

@@ -1,0 +1,209 @@
+"""Token counts, packing and the SentencePiece codec against the libraries themselves."""
+
+import random
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from edge_docs import ROWS
+
+from citystream.llm import arrowtext, bytebpe, packing, queries, sentencepiece_codec, token_counts
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return bytebpe.load(BPE)
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_words_and_slices():
+    texts = pa.array(["a b", " ", "x", "", "\n\tq  r\x0b s ", "é è"])
+    words, offsets = arrowtext.words(texts)
+    assert words.to_pylist() == ["a", "b", "x", "q", "r", "s", "é", "è"] and offsets.tolist() == [0, 2, 2, 3, 3, 6, 8]
+    batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 50, "", "d"])], names=["text"])
+    assert [t.to_pylist() for _, t in arrowtext.slices(batch, most=4)] == [["ab", ""], ["c" * 50], ["", "d"]] or \
+        sum((t.to_pylist() for _, t in arrowtext.slices(batch, most=4)), []) == ["ab", "", "c" * 50, "", "d"]
+
+
+def test_ids_and_counts_equal_the_library(tokenizer):
+    rnd = random.Random(1)
+    alphabet = [*"ab 'stmdrevl.,1２  \n\t é中😀\x1c\x85ß-", "<|endoftext|>", "'re", "'ll", " ", "　"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(4000)] + ["", " ", "\n"]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder = bytebpe.Encoder(BPE, token_counts.proven_whole(BPE))
+    ids, offsets = encoder.ids(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    assert encoder.counts(pa.array(texts)).tolist() == [len(e) for e in expected]
+
+
+def test_memory_may_start_afresh(monkeypatch, tokenizer):
+    monkeypatch.setattr(bytebpe, "REMEMBERED", 3)
+    encoder = bytebpe.Encoder(BPE)
+    for text in ("one two three four five six", "six seven eight nine", "one ten"):
+        assert encoder.counts(pa.array([text])).tolist() == [len(ids_of(tokenizer, text))]
+
+
+def test_token_counts_of_odd_rows(docs, none, tokenizer):
+    got = Counter(map(tuple, token_counts.token_counts(docs, BPE, 1024).collect()))
+    expected = Counter((i, len((t or "").encode()), n := len(ids_of(tokenizer, t)), n > 1024) for i, t, _ in ROWS)
+    assert got == expected
+    assert token_counts.token_counts(none, BPE, 1024).count() == 0
+
+
+def packing_problems(rows, texts, tokenizer, most):
+    """What is wrong with packed rows (doc_id, piece, start, length, crc, sequence, offset)."""
+    problems, by_doc, by_sequence = [], defaultdict(list), defaultdict(list)
+    for doc, piece, start, length, crc, sequence, offset in rows:
+        by_doc[doc].append((piece, start, length, crc))
+        by_sequence[sequence].append((offset, length))
+    for doc, text in texts:
+        ids = np.asarray([*ids_of(tokenizer, text), 0], "<u4")
+        at = 0
+        for k, (piece, start, length, crc) in enumerate(sorted(by_doc.pop(doc))):
+            if (piece, start) != (k, at) or crc != zlib.crc32(ids[at:at + length].tobytes()) or (k and length != most):
+                problems.append((doc, piece))
+            at += length
+        if at != len(ids):
+            problems.append((doc, "length"))
+    for sequence, places in by_sequence.items():
+        at = 0
+        for offset, length in sorted(places):
+            if offset != at:
+                problems.append((sequence, "gap"))
+            at += length
+        if at > most:
+            problems.append((sequence, "full"))
+    return problems + list(by_doc)
+
+
+def test_packing_of_the_corpus(spark, corpus, tokenizer):
+    _, texts = corpus
+    rows = [tuple(r) for r in queries.op1_best_fit_packing(spark, "/root/testdata/sf0.001").collect()]
+    assert packing_problems(rows, texts, tokenizer, 2048) == []
+    assert len({r[5] for r in rows}) <= -(-sum(r[3] for r in rows) // 2048) * 1.02 + 1
+
+
+def test_packing_of_odd_rows(docs, none):
+    rows = packing.pack(docs, BPE, packing.Capacity(64, 4, 64 ** 2)).collect()
+    whole = sum(1 for _ in ROWS)
+    assert sum(r["piece"] == 0 for r in rows) == whole
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in by.values():
+        assert len(places) <= 4 and sum(n for _, n in places) <= 64 and sum(n * n for _, n in places) <= 64 ** 2
+        assert [o for o, _ in sorted(places)] == [sum(n for _, n in sorted(places)[:k]) for k in range(len(places))]
+    assert packing.pack(none, BPE, packing.Capacity(64, 4, 64 ** 2)).count() == 0
+
+
+def slow_best_fit(lengths, capacity, rule):
+    """The same rule, piece by piece: the score of each open sequence's residual vector."""
+    whole, open_ = np.asarray([capacity.tokens, capacity.documents, capacity.attention], float), []
+    for n in sorted(lengths, reverse=True):
+        need = np.asarray([n, 1, n * n])
+        fits = [r for r in open_ if (r >= need).all()]
+        if not fits:
+            open_.append(whole.astype(int) - need)
+            continue
+        w = np.asarray(rule.weights)
+        score = (lambda r: -((r / whole) * (need / whole) * w).sum()) if rule.score == "dot" else (lambda r: ((((r - need) / whole) ** 2) * w).sum())
+        best = min(fits, key=lambda r: (score(r), *r))
+        best -= need
+    return len(open_)
+
+
+@pytest.mark.parametrize("rule", packing.RULES)
+def test_plan_holds_every_capacity(rule):
+    rnd = random.Random(5)
+    for capacity in (packing.Capacity(100, 100, 10_000), packing.Capacity(100, 3, 10_000), packing.Capacity(100, 100, 4_000)):
+        lengths = [rnd.randint(1, 60) for _ in range(400)]
+        plan = packing.plan(Counter(lengths), capacity, rule)
+        held, seen = defaultdict(list), Counter()
+        for n, rank, count, first, offset in zip(plan.length, plan.rank, plan.count, plan.sequence, plan.offset):
+            assert rank == seen[n]
+            seen[n] += count
+            for k in range(count):
+                held[first + k].append((offset, n))
+        assert seen == Counter(lengths) and len(held) == plan.sequences
+        for places in held.values():
+            places.sort()
+            assert sum(n for _, n in places) <= capacity.tokens and len(places) <= capacity.documents and sum(n * n for _, n in places) <= capacity.attention
+            assert all(o == sum(n for _, n in places[:k]) for k, (o, _) in enumerate(places))
+        assert plan.sequences <= slow_best_fit(lengths, capacity, rule) * 1.1 + 1
+
+
+def test_piece_that_fits_nowhere():
+    with pytest.raises(ValueError):
+        packing.plan({50: 1}, packing.Capacity(100, 10, 2_000), packing.RULES[0])
+
+
+def test_pieces_equal_the_library():
+    library, codec = sentencepiece.SentencePieceProcessor(model_file=PIECE), sentencepiece_codec.Codec(PIECE)
+    assert codec.chunked
+    rnd = random.Random(3)
+    alphabet = [*"ab  the\n\t中é😀▁ ▁\x00<>s/", "   ", " " * 20, "</s>", "<0x41>", "<unk>"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(3000)] + ["", " ", "▁", "a ", " a", " " * 40]
+    ids, offsets, corrected = codec.ids(pa.array(texts))
+    expected = library.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected and not corrected.any()
+    assert codec.texts(ids, offsets) == [library.decode(e) for e in expected]
+
+
+def model_file(path, kind, pieces, **normal):
+    """A model file of the format's fields, written by hand."""
+    def varint(n):
+        out = b""
+        while True:
+            out, n = out + bytes([n & 127 | (128 if n > 127 else 0)]), n >> 7
+            if not n:
+                return out
+
+    def field(number, value):
+        if isinstance(value, float):
+            return varint(number << 3 | 5) + struct.pack("<f", value)
+        if isinstance(value, int):
+            return varint(number << 3) + varint(value)
+        return varint(number << 3 | 2) + varint(len(value)) + value
+
+    data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, t)) for p, s, t in pieces)
+    data += field(2, field(3, kind) + field(35, 0) + field(40, 0)) + field(3, b"".join(field(n, v) for n, v in ((3, normal.get("prefix", 1)), (4, normal.get("extra", 1)))))
+    path.write_bytes(data)
+    return str(path)
+
+
+@pytest.mark.parametrize("extra", [0, 1])
+def test_unigram_model(tmp_path, extra):
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), ("▁", -3.0, 1), ("▁he", -4.5, 1), ("ll", -4.0, 1), ("o", -3.5, 1), ("▁hell", -6.1, 1), ("h", -5.0, 1), ("e", -4.2, 1), ("l", -4.9, 1), ("▁hello", -9.7, 1)]
+    path = model_file(tmp_path / "u.model", 1, pieces, extra=extra)
+    library, codec = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.Codec(path)
+    texts = ["hello", "hell o  hello", "  he ll ", "", "hezzz", "o l h"]
+    ids, offsets, corrected = codec.ids(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == library.encode(texts)
+    assert corrected.sum() == 0
+
+
+def test_codec_of_odd_rows(spark, docs, none):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    rows = sentencepiece_codec.encoded(docs, PIECE)
+    got = Counter((r["doc_id"], tuple(r["ids"]), r["corrected"]) for r in rows.collect())
+    assert got == Counter((i, tuple(library.encode(t or "")), 0) for i, t, _ in ROWS)
+    back = Counter(map(tuple, sentencepiece_codec.decoded(rows, PIECE).collect()))
+    assert back == Counter((i, (t or "").replace("▁", " ")) for i, t, _ in ROWS)
+    assert sentencepiece_codec.decoded(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), PIECE).first()["text"] == ""
+    assert sentencepiece_codec.round_trips(none, PIECE).count() == 0
+    trips = {(r["doc_id"], r["n_tokens"]): r for r in sentencepiece_codec.round_trips(docs, PIECE).collect()}
+    for i, t, _ in ROWS:
+        own = library.encode(t or "")
+        r = trips[i, len(own)]
+        assert r["round_trip"] == ("▁" not in (t or "")) and r["corrected"] == 0
