@@ -76,12 +76,12 @@ def _gridlock_seqs(spark, waits, **kw):
     return sorted(r.seq for r in gridlock.gridlock_alerts(signals(spark, waits), **kw).collect())
 
 
-@pytest.mark.parametrize("kw", [{}, {"block_size": 2, "hot_rows": 1}])
+@pytest.mark.parametrize("kw", [{}, {"block": 2}])
 def test_gridlock_reset_after_alert(spark, kw):
     assert _gridlock_seqs(spark, [200.0] * 7, **kw) == [2, 5]
 
 
-@pytest.mark.parametrize("kw", [{}, {"block_size": 2, "hot_rows": 1}])
+@pytest.mark.parametrize("kw", [{}, {"block": 2}])
 def test_gridlock_interrupted(spark, kw):
     assert _gridlock_seqs(spark, [200, 200, 10, 200, 200, 200], **kw) == [5]
 
@@ -102,7 +102,7 @@ def _bunch(spark, rows, **kw):
     return sorted((r.seq, r.bus_1, r.bus_2, r.timestamp_ms, r.distance_m) for r in out)
 
 
-KW = [{}, {"block_size": 2, "hot_rows": 2}, {"prefilter": False}, {"long_run_rows": 1}]
+KW = [{}, {"block": 2}]
 
 
 @pytest.mark.parametrize("kw", KW)
