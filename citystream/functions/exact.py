@@ -4,8 +4,9 @@ A double average depends on summation order, so the same group can round to
 different 4th decimals on different engines or partitionings. We sum values
 as integer micro-units (fixed point, 6 decimals) and round the mean half up
 with integer division, which is exact and order-free; threshold tests compare
-integers instead of doubles. Sums are BIGINT: with |value| <= 1e3 a group may
-hold ~9e12 rows before overflow."""
+integers instead of doubles. Micro-units are DECIMAL(20,0), so their sums don't
+overflow. A value that is no number of that range (NaN, infinite, or beyond
+9.2e12) counts as missing: it is left out of sum and count."""
 
 from __future__ import annotations
 
@@ -19,7 +20,13 @@ UNIT = 10 ** UNIT_DIGITS
 def units(c: str | Column) -> Column:
     """Value -> integer micro-units (rounded half away from zero)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * float(UNIT)).cast("bigint")
+    return F.round(c * float(UNIT)).try_cast("bigint").cast("decimal(20,0)")
+
+
+def rounded_sum(sum_units: str, scale: int = 4) -> Column:
+    """Micro-unit sum rounded half away from zero to `scale` decimals."""
+    c = 10 ** (UNIT_DIGITS - scale)
+    return F.expr(f"CAST(signum({sum_units}) * ((2 * abs({sum_units}) + {c}) div {2 * c}) AS DOUBLE) / {10 ** scale}")
 
 
 def rounded_mean(sum_units: str, count: str, scale: int = 4) -> Column:

@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_MS_PATTERN = r"^-?[0-9]+$"
+# At most 15 digits: every such number is a time, longer ones would overflow.
+EPOCH_MS_PATTERN = r"^-?[0-9]{1,15}$"
+# A date is asked for: a bare time of day would mean the day the job runs on.
+ISO_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"
 
 
 def _col(c: str | Column) -> Column:
@@ -22,7 +25,7 @@ def event_time(ts: str | Column = "timestamp") -> Column:
     """STRING epoch-ms or ISO-8601 -> TIMESTAMP (NULL when unparseable)."""
     ts = F.trim(_col(ts))
     return (F.when(ts.rlike(EPOCH_MS_PATTERN), F.timestamp_millis(ts.try_cast("bigint")))
-             .otherwise(ts.try_cast("timestamp")))
+             .when(ts.rlike(ISO_PATTERN), ts.try_cast("timestamp")))
 
 
 def epoch_ms(ts: str | Column) -> Column:

@@ -31,9 +31,9 @@ def rolling_partials(air: DataFrame, window_minutes: int = WINDOW_MINUTES,
     slide_ms = slide_minutes * 60_000
     n_windows = window_minutes // slide_minutes
     ts_ms = F.unix_millis("event_time")
-    buckets = (air.groupBy("zone", (ts_ms - F.pmod(ts_ms, F.lit(slide_ms))).alias("bucket_ms"))
+    buckets = (air.filter(F.col("event_time").isNotNull()).groupBy("zone", (ts_ms - F.pmod(ts_ms, F.lit(slide_ms))).alias("bucket_ms"))
                .agg(F.sum(units("aqi")).alias("u"),
-                    F.count("aqi").alias("n"),
+                    F.count(units("aqi")).alias("n"),
                     F.count(F.lit(1)).alias("rows")))
     starts = F.transform(F.sequence(F.lit(0), F.lit(n_windows - 1)),
                          lambda k: F.col("bucket_ms") - k.cast("bigint") * slide_ms)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citystream.functions.exact import rounded_mean, units
+from citystream.functions.exact import rounded_mean, rounded_sum, units
 from citystream.functions.time import bound_string
 
 
@@ -22,14 +22,14 @@ def with_lake_columns(meters: DataFrame) -> DataFrame:
 def ward_energy(meters: DataFrame, window: str = "15 minutes") -> DataFrame:
     w = F.window("event_time", window)
     return (meters.groupBy("ward_id", w.alias("w"))
-            .agg(F.sum("kwh_reading").alias("total_kwh_consumed"),
+            .agg(F.sum(units("kwh_reading")).alias("kwh_units"),
                  F.sum(units("power_factor")).alias("pf_units"),
-                 F.count("power_factor").alias("pf_n"),
-                 F.max("voltage").alias("peak_voltage"))
+                 F.count(units("power_factor")).alias("pf_n"),
+                 F.max(F.nanvl("voltage", F.lit(None).cast("double"))).alias("peak_voltage"))
             .select("ward_id",
                     bound_string("w.start").alias("window_start"),
                     bound_string("w.end").alias("window_end"),
-                    F.round("total_kwh_consumed", 4).alias("total_kwh_consumed"),
+                    rounded_sum("kwh_units").alias("total_kwh_consumed"),
                     rounded_mean("pf_units", "pf_n").alias("avg_power_factor"),
                     F.round("peak_voltage", 4).alias("peak_voltage")))
 

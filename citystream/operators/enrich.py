@@ -1,9 +1,8 @@
 """Bus GPS enrichment: left lookup join to the route schedule with defaults
 for routes that have no schedule row.
 
-The schedule side is broadcast only behind a row-count bound
-(`lookups.bounded_broadcast`); events never move. Above the bound the join
-falls back to a shuffle join, which AQE can still switch at run time."""
+Whether the schedule is broadcast is left to the planner and AQE, which know
+its measured size."""
 
 from __future__ import annotations
 

@@ -11,27 +11,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citystream.functions.time import bound_string
+from citystream.sources.kafka import CORRUPT
 
 # Validation reasons and the valid AQI range (inclusive).
 NULL_AQI = "NULL_AQI_VALUE"
 OUT_OF_RANGE = "AQI_OUT_OF_RANGE"
+# Our own reasons for records that could not be read.
+MALFORMED = "MALFORMED_JSON"
+BAD_TIME = "UNPARSEABLE_TIMESTAMP"
 AQI_MIN, AQI_MAX = 0.0, 500.0
 SOURCE_TOPIC = "city.air_quality"
 
 PAYLOAD_FIELDS = ["sensor_id", "zone", "pm25", "pm10", "no2", "aqi", "timestamp"]
 
 
-def default_rules() -> list[tuple[Column, str]]:
-    """(failing predicate, reason) in priority order."""
+def default_rules(columns: list[str]) -> list[tuple[Column, str]]:
+    """(failing predicate, reason) in priority order, as far as the columns are there."""
     aqi = F.col("aqi")
-    return [
-        (aqi.isNull(), NULL_AQI),
-        (~aqi.between(AQI_MIN, AQI_MAX), OUT_OF_RANGE),
-    ]
+    rules = [(aqi.isNull(), NULL_AQI), (~aqi.between(AQI_MIN, AQI_MAX), OUT_OF_RANGE)]
+    if CORRUPT in columns:
+        rules.insert(0, (F.col(CORRUPT).isNotNull(), MALFORMED))
+    if "event_time" in columns:
+        rules.append((F.col("event_time").isNull(), BAD_TIME))
+    return rules
 
 
 def with_reason(df: DataFrame, rules: list[tuple[Column, str]] | None = None) -> DataFrame:
-    rules = rules or default_rules()
+    rules = rules or default_rules(df.columns)
     reason = F.lit(None).cast("string")
     for pred, name in reversed(rules):
         reason = F.when(pred, F.lit(name)).otherwise(reason)
@@ -39,22 +45,30 @@ def with_reason(df: DataFrame, rules: list[tuple[Column, str]] | None = None) ->
 
 
 def dead_letters(df: DataFrame, rules=None, source_topic: str = SOURCE_TOPIC) -> DataFrame:
-    """Failing records: the original payload fields, reason and source topic."""
+    """Failing records: the original payload fields, reason, source topic, and the
+    raw text of a value that is no JSON."""
+    raw = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
     return (with_reason(df, rules)
             .filter(F.col("error_reason").isNotNull())
             .select(*PAYLOAD_FIELDS, "seq", "error_reason",
-                    F.lit(source_topic).alias("source_topic")))
+                    F.lit(source_topic).alias("source_topic"), raw.alias("raw_value")))
 
 
 def dead_letter_envelope(dlq: DataFrame) -> DataFrame:
-    """Dead-letter record as published: payload object nested inside, plus
-    the time it was routed."""
+    """Dead-letter record as published: payload object nested inside (the raw text
+    where it is no JSON), plus the time it was routed."""
     return dlq.select(
-        F.struct(*PAYLOAD_FIELDS).alias("original_payload"),
+        F.struct(*PAYLOAD_FIELDS).alias("original_payload"), "raw_value",
         "error_reason", "source_topic",
         F.current_timestamp().alias("failed_at"))
 
 
+def dead_letter_records(dlq: DataFrame) -> DataFrame:
+    """Kafka form of the envelope: key = sensor, value = JSON."""
+    envelope = dead_letter_envelope(dlq)
+    return envelope.select(F.col("original_payload.sensor_id").alias("key"), F.to_json(F.struct(*envelope.columns)).alias("value"))
+
+
 def valid_records(df: DataFrame, rules=None) -> DataFrame:
     return with_reason(df, rules).filter(F.col("error_reason").isNull()).drop("error_reason")
 

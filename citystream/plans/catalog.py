@@ -102,12 +102,60 @@ def _report_sql() -> str:
 
 @register("dlq_records", _CHECKED + """
 SELECT sensor_id, zone, pm25, pm10, no2, aqi, "timestamp", seq, error_reason,
-       'city.air_quality' AS source_topic
+       'city.air_quality' AS source_topic, CAST(NULL AS VARCHAR) AS raw_value
 FROM checked WHERE error_reason IS NOT NULL""")
 def dlq_records(spark, sf_dir):
     return quality.dead_letters(feed(spark, sf_dir, "air_quality"))
 
 
+_DIRTY = O.with_feeds("air_quality", extra="""spoilt AS (
+  SELECT * REPLACE (CASE seq % 50 WHEN 13 THEN 'garbage' WHEN 21 THEN '99999999999999999999' WHEN 29 THEN '12:30'
+                    ELSE "timestamp" END AS "timestamp"), seq % 50 = 7 AS bad FROM air_quality),
+judged AS (
+  SELECT *, CASE WHEN bad THEN 'MALFORMED_JSON' WHEN aqi IS NULL THEN 'NULL_AQI_VALUE'
+                 WHEN aqi < 0 OR aqi > 500 THEN 'AQI_OUT_OF_RANGE'
+                 WHEN seq % 50 IN (13, 21, 29) THEN 'UNPARSEABLE_TIMESTAMP' END AS error_reason
+  FROM spoilt)""")
+
+
+def _dirty_rows(spark, sf_dir):
+    return kafka.decode(feeds.dirty(kafka.envelope(feed(spark, sf_dir, "air_quality"), "air_quality")), "air_quality")
+
+
+@register("dlq_dirty", _DIRTY + """
+SELECT if(bad, NULL, sensor_id) AS sensor_id, if(bad, NULL, zone) AS zone, if(bad, NULL, pm25) AS pm25,
+       if(bad, NULL, pm10) AS pm10, if(bad, NULL, no2) AS no2, if(bad, NULL, aqi) AS aqi,
+       if(bad, NULL, "timestamp") AS "timestamp", seq, error_reason, 'city.air_quality' AS source_topic,
+       if(bad, '{bad ' || CAST(seq AS VARCHAR), NULL) AS raw_value
+FROM judged WHERE error_reason IS NOT NULL""")
+def dlq_dirty(spark, sf_dir):
+    """Dead letters of a topic with unreadable times and malformed JSON."""
+    return quality.dead_letters(_dirty_rows(spark, sf_dir))
+
+
+@register("dlq_envelope", _DIRTY + """
+SELECT if(bad, NULL, sensor_id) AS sensor_id, if(bad, NULL, aqi) AS aqi, if(bad, NULL, "timestamp") AS "timestamp",
+       if(bad, '{bad ' || CAST(seq AS VARCHAR), NULL) AS raw_value, error_reason, 'city.air_quality' AS source_topic
+FROM judged WHERE error_reason IS NOT NULL""")
+def dlq_envelope(spark, sf_dir):
+    """The envelope as published (without the time it was routed), read back from its JSON."""
+    records = quality.dead_letter_records(quality.dead_letters(_dirty_rows(spark, sf_dir)))
+    schema = "original_payload struct<sensor_id string, aqi double, timestamp string>, raw_value string, error_reason string, source_topic string"
+    return records.select(F.from_json("value", schema).alias("v")).select("v.original_payload.*", "v.raw_value", "v.error_reason", "v.source_topic")
+
+
+@register("zone_rolling_aqi_dirty", _DIRTY + """, w AS (
+  SELECT j.zone, j.aqi, j.timestamp_ms - j.timestamp_ms % 60000 - r.range * 60000 AS ws
+  FROM judged j CROSS JOIN range(10) r WHERE NOT bad AND seq % 50 NOT IN (13, 21, 29))
+SELECT zone, """ + O.bound("ws") + """ AS window_start, """ + O.bound("ws + 600000") + """ AS window_end,
+       CAST(round(avg(CAST(aqi AS DECIMAL(18,6))), 4) AS DOUBLE) AS rolling_avg_aqi, count(aqi) AS aqi_readings
+FROM w GROUP BY zone, ws""")
+def zone_rolling_aqi_dirty(spark, sf_dir):
+    """Rolling averages of the same topic: records without a time are in no window.
+    The reference takes plain DECIMAL averages."""
+    return advisory.rolling_aqi(_dirty_rows(spark, sf_dir))
+
+
 @register("valid_records", _CHECKED + """
 SELECT sensor_id, zone, pm25, pm10, no2, aqi, "timestamp", seq, timestamp_ms
 FROM checked WHERE error_reason IS NULL""")
@@ -384,6 +432,14 @@ def incidents(spark, sf_dir):
         bunching.bunching_alerts(feeds.bus_gps(ev)))
 
 
+@register("incidents_json", ORACLE["incidents"])
+def incidents_json(spark, sf_dir):
+    """The incident topic's JSON values, read back (keyed by nothing; absent fields are NULL)."""
+    u = incidents(spark, sf_dir)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in u.schema.fields)
+    return incidents_op.incident_records(u).select(F.from_json("value", schema).alias("v")).select("v.*")
+
+
 # ------------------------------------------------------------ lake
 
 @register("ward_energy_lake", _ward_energy_sql(900_000))

@@ -40,8 +40,8 @@ SIGNALS = f"""signals AS (
 BUS_GPS = """bus_gps AS (
   SELECT 'BUS-' || CAST(user_id + 1000 AS VARCHAR) AS bus_id,
          'R' || CAST(user_id % 6 + 101 AS VARCHAR) AS route_id,
-         CAST(190760 + (k % 8) * 7 AS DOUBLE) / 10000 AS lat,
-         CAST(728777 + (event_id % 8) * 7 AS DOUBLE) / 10000 AS lon,
+         CAST(188500 + (k % 8) * 7 AS DOUBLE) / 10000 AS lat,
+         CAST(475200 + (event_id % 8) * 7 AS DOUBLE) / 10000 AS lon,
          value AS speed_kmh,
          CAST(k % 91 + 10 AS INTEGER) AS occupancy_pct,
          strftime(event_time, '%Y-%m-%dT%H:%M:%S.%g') AS "timestamp",

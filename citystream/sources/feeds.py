@@ -83,8 +83,8 @@ def bus_gps(ev: DataFrame) -> DataFrame:
     return e.select(
         F.concat(F.lit("BUS-"), (F.col("user_id") + 1000).cast("string")).alias("bus_id"),
         F.concat(F.lit("R"), (F.col("user_id") % 6 + 101).cast("string")).alias("route_id"),
-        ((F.lit(190760) + (F.col("k") % 8) * 7).cast("double") / 10000).alias("lat"),
-        ((F.lit(728777) + (F.col("event_id") % 8) * 7).cast("double") / 10000).alias("lon"),
+        ((F.lit(188500) + (F.col("k") % 8) * 7).cast("double") / 10000).alias("lat"),
+        ((F.lit(475200) + (F.col("event_id") % 8) * 7).cast("double") / 10000).alias("lon"),
         F.col("value").alias("speed_kmh"),
         (F.col("k") % 91 + 10).cast("int").alias("occupancy_pct"),
         iso_string("event_time").alias("timestamp"),
@@ -105,6 +105,19 @@ def smart_meters(ev: DataFrame) -> DataFrame:
     )
 
 
+def dirty(envelope: DataFrame) -> DataFrame:
+    """Air-quality records as a real topic has them: of every 50, one is no JSON and
+    three have a time that can't be read."""
+    value, at = F.col("value").cast("string"), F.col("offset") % 50
+    spoilt = F.when(at == 7, F.concat(F.lit("{bad "), F.col("offset")))
+    for place, text in BAD_TIMES.items():
+        spoilt = spoilt.when(at == place, F.regexp_replace(value, '"timestamp":"[^"]*"', f'"timestamp":"{text}"'))
+    return envelope.withColumn("value", spoilt.otherwise(value).cast("binary"))
+
+
+#: Places among 50 records, and the time text each has.
+BAD_TIMES = {13: "garbage", 21: "99999999999999999999", 29: "12:30"}
+
 FEED_BUILDERS = {
     "air_quality": air_quality,
     "signals": signals,

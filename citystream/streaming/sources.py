@@ -31,7 +31,8 @@ def topic_stream(spark: SparkSession, feed_name: str, source: dict | None = None
     if source.get("max_files_per_trigger"):
         reader = reader.option("maxFilesPerTrigger", int(source["max_files_per_trigger"]))
     ev = reader.parquet(source["path"])
-    return kafka.envelope(feeds.feed(ev, feed_name), feed_name)
+    records = kafka.envelope(feeds.feed(ev, feed_name), feed_name)
+    return feeds.dirty(records) if source.get("dirty") else records
 
 
 def feed_stream(spark: SparkSession, feed_name: str, source: dict | None = None,

@@ -93,7 +93,7 @@ def test_gridlock_boundary_and_null(spark):
 
 # ---------------------------------------------------------------- bunching
 
-LAT, LON = 19.076, 72.8777
+LAT, LON = 18.85, 47.52
 FAR = 0.01  # ~1.1 km
 
 
@@ -175,7 +175,7 @@ def test_advisory_boundary_and_null_only(spark):
     adv = advisory.health_advisories(df, lookups.zone_profile_side(spark)).collect()
     assert {r.zone for r in adv} == {"East"}
     assert all(r.rolling_avg_aqi == r.alert_level == 151.0 for r in adv)
-    assert all((r.population, r.number_of_schools) == (120000, 8) for r in adv)
+    assert all((r.population, r.number_of_schools) == (98250, 7) for r in adv)
     rolling = advisory.rolling_aqi(df).filter("zone = 'South'").collect()
     assert rolling and all(r.rolling_avg_aqi is None and r.aqi_readings == 0 for r in rolling)
 
