@@ -59,7 +59,8 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     labelled = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     labelled = labelled.filter(F.col("lang").isNotNull() & (fold(F.col("id")) != HELD_OUT)).withColumn("h", F.xxhash64("id"))
     chosen = labelled.groupBy("lang", F.pmod("h", F.lit(SAMPLE_DOCS)).alias("b")).agg(F.min("h").alias("h")).select("lang", "h")
-    texts = labelled.join(chosen, ["lang", "h"], "left_semi")
+    # at most SAMPLE_DOCS rows for each class of the network, so they go to the texts
+    texts = labelled.join(F.broadcast(chosen), ["lang", "h"], "left_semi")
     room = F.greatest(F.length("text") - WINDOW, F.lit(0))
     windows = F.array(*[F.substring("text", (F.floor(room * k / max(1, SAMPLE_WINDOWS - 1)) + 1).cast("int"), F.lit(WINDOW)) for k in range(SAMPLE_WINDOWS)])
     rows = texts.select("lang", "h", F.explode(F.array_distinct(windows)).alias("w")).filter("w rlike '\\\\p{L}'").distinct().collect()
