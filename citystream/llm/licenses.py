@@ -103,7 +103,8 @@ def sample(docs: DataFrame, text_col: str) -> list[str]:
     of SAMPLE_LINES / 4 buckets of the texts' hash the text with the least one, and four of its lines."""
     texts = docs.select(F.col(text_col).alias("t")).filter("t IS NOT NULL").withColumn("h", F.xxhash64("t"))
     chosen = texts.select("h").groupBy(F.pmod("h", F.lit(SAMPLE_LINES // 4)).alias("b")).agg(F.min("h").alias("h")).select("h")
-    lines = texts.join(chosen, "h", "left_semi").select("h", F.slice(F.filter(F.split("t", "\\R"), lambda x: F.length(F.trim(x)) > 0), 1, 4).alias("l"))
+    # SAMPLE_LINES / 4 rows at most, so they go to the texts
+    lines = texts.join(F.broadcast(chosen), "h", "left_semi").select("h", F.slice(F.filter(F.split("t", "\\R"), lambda x: F.length(F.trim(x)) > 0), 1, 4).alias("l"))
     rows = lines.select("h", F.explode("l").alias("line")).select("h", F.substring("line", 1, 2000).alias("line")).distinct().collect()
     return [r["line"] for r in sorted(rows)]
 
