@@ -29,12 +29,17 @@ def rolling_partials(air: DataFrame, window_minutes: int = WINDOW_MINUTES,
     if window_minutes % slide_minutes:
         raise ValueError("window length must be a multiple of the slide")
     slide_ms = slide_minutes * 60_000
-    n_windows = window_minutes // slide_minutes
     ts_ms = F.unix_millis("event_time")
     buckets = (air.filter(F.col("event_time").isNotNull()).groupBy("zone", (ts_ms - F.pmod(ts_ms, F.lit(slide_ms))).alias("bucket_ms"))
                .agg(F.sum(units("aqi")).alias("u"),
                     F.count(units("aqi")).alias("n"),
                     F.count(F.lit(1)).alias("rows")))
+    return windows_of(buckets, window_minutes, slide_minutes)
+
+
+def windows_of(buckets: DataFrame, window_minutes: int = WINDOW_MINUTES, slide_minutes: int = SLIDE_MINUTES) -> DataFrame:
+    """Sliding windows put together from slide-sized pieces (zone, bucket_ms, u, n, rows)."""
+    slide_ms, n_windows = slide_minutes * 60_000, window_minutes // slide_minutes
     starts = F.transform(F.sequence(F.lit(0), F.lit(n_windows - 1)),
                          lambda k: F.col("bucket_ms") - k.cast("bigint") * slide_ms)
     fanned = buckets.select("zone", "u", "n", "rows", F.explode(starts).alias("window_start_ms"))
@@ -60,8 +65,11 @@ def health_advisories(air: DataFrame, zone_side: DataFrame, threshold: float = U
                       slide_minutes: int = SLIDE_MINUTES) -> DataFrame:
     """Windows whose average AQI exceeds `threshold`, for zones that have a
     profile row (inner join), with the zone's population and schools."""
-    p = (rolling_partials(air, window_minutes, slide_minutes)
-         .filter(mean_above("aqi_units", "aqi_readings", threshold)))
+    return advisories_of(rolling_partials(air, window_minutes, slide_minutes), zone_side, threshold)
+
+
+def advisories_of(windows: DataFrame, zone_side: DataFrame, threshold: float = UNHEALTHY_AQI) -> DataFrame:
+    p = windows.filter(mean_above("aqi_units", "aqi_readings", threshold))
     avg = rounded_mean("aqi_units", "aqi_readings")
     return (p.join(zone_side, "zone", "inner")
              .select("zone",

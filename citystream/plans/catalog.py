@@ -484,6 +484,18 @@ def stream_ward_energy(spark, sf_dir):
     return stream_jobs.ward_energy_stream(spark, _replay(sf_dir))
 
 
+@register("stream_lake", O.with_feeds("smart_meters") + """
+SELECT meter_id, ward_id, kwh_reading, voltage, power_factor, "timestamp", CAST(event_time AS DATE) AS "date" FROM smart_meters""")
+def stream_lake(spark, sf_dir):
+    """Readings landed in the partitioned lake by a stream, read back."""
+    return stream_jobs.lake_stream(spark, _replay(sf_dir)).drop("event_time")
+
+
+@register("stream_dlq_dirty", ORACLE["dlq_dirty"])
+def stream_dlq_dirty(spark, sf_dir):
+    return stream_jobs.dlq_stream(spark, _replay(sf_dir) | {"dirty": True})
+
+
 @register("stream_health_advisory", ORACLE["health_advisory"])
 def stream_health_advisory(spark, sf_dir):
     return stream_jobs.health_advisory_stream(spark, _replay(sf_dir))

@@ -26,14 +26,6 @@ def key_partition(key: Column, partitions: int) -> Column:
                   F.lit(partitions)).cast("int")
 
 
-def to_kafka(df: DataFrame, value_cols: list[str], key_col: str | None = None) -> DataFrame:
-    """(key, value) projection for a Kafka sink: value is the JSON object of
-    `value_cols` (nulls omitted, as `to_json` does)."""
-    key = F.col(key_col).cast("string").cast("binary") if key_col else F.lit(None).cast("binary")
-    return df.select(key.alias("key"),
-                     F.to_json(F.struct(*value_cols)).cast("binary").alias("value"))
-
-
 def envelope(feed_df: DataFrame, feed_name: str, partitions: int = DEFAULT_PARTITIONS) -> DataFrame:
     """Feed -> topic records (key, value, topic, partition, offset, timestamp)."""
     fields = schemas.FEEDS[feed_name].fieldNames()

@@ -1,7 +1,10 @@
-"""Streaming jobs. Each builds its streaming plan from the same transformation
-functions as the batch queries, starts it with its own checkpoint under the
-shared checkpoint folder, and -- for `availableNow` triggers -- runs it to the
-end and returns what the sink holds as a batch DataFrame."""
+"""Streaming jobs, from the same transformation functions as the batch queries.
+
+`start_*` functions start one query and return it, so several run side by side.
+Each takes `base`, the job's own folder in the shared storage: `base/out` is its
+sink and `base/_checkpoint` its checkpoint. Starting a job again on the same
+folder resumes where it stopped. The `*_stream` functions replay a source to
+its end (availableNow) and return what the sink holds as a batch DataFrame."""
 
 from __future__ import annotations
 
@@ -9,23 +12,26 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from citystream.functions.exact import mean_above, rounded_mean, units
-from citystream.functions.time import bound_string
-from citystream.operators import advisory, alerts, energy, enrich, progress, quality
+from citystream.functions.exact import units
+from citystream.operators import advisory, alerts, energy, enrich, incidents, progress, quality
 from citystream.session import scratch_path
 from citystream.sources import lookups
 from citystream.streaming import sinks
-from citystream.streaming.sources import feed_stream
-from citystream.streaming.stateful import (BUNCHING_OUT, GRIDLOCK_OUT, ROCKSDB_PROVIDER,
-                                           BunchingProcessor, GridlockProcessor)
+from citystream.streaming.sources import feed_stream, topic_stream
+from citystream.streaming.stateful import (BUNCHING_OUT, GRIDLOCK_OUT, GROUPS, ROCKSDB_PROVIDER,
+                                           BunchingProcessor, GridlockProcessor, to_tiles)
 
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
-def _locations(spark: SparkSession, name: str) -> tuple[str, str]:
-    base = scratch_path(spark, name)
-    return f"{base}/out", f"{base}/_checkpoint"
+def _out(base: str) -> str:
+    return f"{base}/out"
+
+
+def _checkpoint(base: str) -> str:
+    return f"{base}/_checkpoint"
 
 
 @contextmanager
@@ -43,166 +49,220 @@ def _rocksdb_state(spark: SparkSession):
             spark.conf.set(STATE_PROVIDER_CONF, old)
 
 
-def _append_to_parquet(spark, df: DataFrame, name: str, trigger=None) -> DataFrame:
-    path, ckpt = _locations(spark, name)
-    sinks.run_to_end(sinks.start_parquet(df, path, ckpt, name, trigger=trigger))
-    return spark.read.schema(df.schema).parquet(path)
+def _replayed(spark: SparkSession, start, source: dict, name: str, base: str | None, **kw) -> tuple[str, StreamingQuery]:
+    """Runs a job to its source's end; its folder and the ended query."""
+    base = base or scratch_path(spark, name)
+    return base, sinks.run_to_end(start(spark, source, base, **kw))
+
+
+def _append(spark, df: DataFrame, base: str, name: str, trigger, partition_by=None, form: str = "parquet") -> StreamingQuery:
+    return sinks.start_files(df, _out(base), _checkpoint(base), name, partition_by, trigger, form)
+
+
+def _read(spark: SparkSession, base: str, schema=None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(_out(base))
 
 
 # ------------------------------------------------------------ ward energy
 
-def ward_energy_stream(spark: SparkSession, source: dict, window: str = "15 minutes",
-                       watermark: str = "2 minutes", trigger=None,
-                       lake_path: str | None = None, preview: bool = False) -> DataFrame:
+LAKE_COLUMNS = ["meter_id", "ward_id", "kwh_reading", "voltage", "power_factor", "timestamp", "event_time", "date"]
+
+
+def start_lake(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+    """Raw readings into the date/ward-partitioned lake."""
+    lake = energy.with_lake_columns(feed_stream(spark, "smart_meters", source)).select(*LAKE_COLUMNS)
+    return _append(spark, lake, base, "meter_lake", trigger, ["date", "ward_id"])
+
+
+def lake_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_lake, source, "meter_lake", base)
+    return _read(spark, base)
+
+
+def start_meter_console(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+    """Readings printed as they come, for watching a feed."""
+    return sinks.start_console(feed_stream(spark, "smart_meters", source), _checkpoint(base), "smart_meters", trigger)
+
+
+def start_ward_energy(spark: SparkSession, source: dict, base: str, trigger=None, window: str = "15 minutes",
+                      watermark: str = "2 minutes", preview: bool = False, form: str = "parquet",
+                      options: dict | None = None) -> StreamingQuery:
     """Windowed ward totals, append mode: a window is written once the
     watermark (max event time - `watermark`) passes its end; rows older than
-    the watermark are dropped. Each micro-batch is written by `foreachBatch`
-    tagged with its batch id. Optionally the raw readings are landed in the
-    date/ward-partitioned lake by a second query on the same stream."""
+    the watermark are dropped. `form` and `options` name the sink's format (a
+    Parquet, ORC or CSV folder, or a JDBC table)."""
     meters = feed_stream(spark, "smart_meters", source)
-    if lake_path:
-        lake = energy.with_lake_columns(meters).select(
-            "meter_id", "ward_id", "kwh_reading", "voltage", "power_factor",
-            "timestamp", "event_time", "date")
-        _, ckpt = _locations(spark, "meter_lake")
-        sinks.run_to_end(sinks.start_parquet(lake, lake_path, ckpt, "meter_lake",
-                                             partition_by=["date", "ward_id"], trigger=trigger))
     agg = energy.ward_energy(meters.withWatermark("event_time", watermark), window)
-    path, ckpt = _locations(spark, "ward_energy")
-    writer = sinks.batch_writer(path, preview_order=["ward_id", "window_start"] if preview else None)
-    sinks.run_to_end(sinks.start_foreach_batch(agg, writer, ckpt, "ward_energy", trigger))
-    return spark.read.parquet(path).drop("batch_id")
+    writer = sinks.batch_writer(_out(base), ["ward_id", "window_start"] if preview else None, form, options)
+    return sinks.start_foreach_batch(agg, writer, _checkpoint(base), "ward_energy", trigger)
+
+
+def ward_energy_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
+    base, _ = _replayed(spark, start_ward_energy, source, "ward_energy", base, **kw)
+    form = kw.get("form", "parquet")
+    return sinks.batches(spark, _out(base), form).drop("batch_id")
+
+
+def start_all_meters(spark: SparkSession, source: dict, base: str, trigger: dict) -> list[StreamingQuery]:
+    """Lake, console and totals side by side on one topic; `sinks.await_any` waits for them (queries
+    that ended earlier in the session are forgotten first, or it would not wait)."""
+    spark.streams.resetTerminated()
+    return [start_lake(spark, source, f"{base}/lake", trigger), start_meter_console(spark, source, f"{base}/console", trigger),
+            start_ward_energy(spark, source, f"{base}/energy", trigger, preview=True)]
 
 
 # ------------------------------------------------------------ health advisories
 
-def health_advisory_stream(spark: SparkSession, source: dict, watermark: str = "10 minutes",
-                           threshold: float = advisory.UNHEALTHY_AQI, trigger=None) -> DataFrame:
-    """Sliding-window zone averages in update mode, joined to the zone
-    profile. Every micro-batch upserts the windows it changed (key = zone,
-    window_start) before the threshold test, so a window whose average later
-    falls back to the threshold or below is not left behind as a stale
-    advisory; the advisories are the upserted windows above the threshold."""
+def _minutes(spark: SparkSession, source: dict, watermark: str) -> DataFrame:
+    """Per zone and slide: fixed-point sum and count. A reading is in one of these
+    tumbling pieces; the sliding windows are put together from them on read."""
     air = feed_stream(spark, "air_quality", source).withWatermark("event_time", watermark)
-    w = F.window("event_time", f"{advisory.WINDOW_MINUTES} minutes", f"{advisory.SLIDE_MINUTES} minute")
-    agg = (air.groupBy("zone", w.alias("w"))
-              .agg(F.sum(units("aqi")).alias("aqi_units"), F.count("aqi").alias("aqi_readings")))
-    rows = (agg.join(lookups.zone_profile_side(spark), "zone", "inner")
-               .select("zone",
-                       bound_string("w.start").alias("window_start"),
-                       bound_string("w.end").alias("window_end"),
-                       "aqi_units", "aqi_readings", "population", "number_of_schools"))
-    path, ckpt = _locations(spark, "health_advisory")
-    sinks.run_to_end(sinks.start_foreach_batch(rows, sinks.batch_writer(path), ckpt,
-                                               "health_advisory", trigger, output_mode="update"))
-    final = sinks.latest_per_key(spark, path, ["zone", "window_start"])
-    avg = rounded_mean("aqi_units", "aqi_readings")
-    return (final.filter(mean_above("aqi_units", "aqi_readings", threshold))
-                 .select("zone", "window_start", "window_end", avg.alias("rolling_avg_aqi"),
-                         "population", "number_of_schools", avg.alias("alert_level")))
-
-
-def health_advisory_kafka(spark: SparkSession, source: dict, kafka_options: dict,
-                          topic: str = "city.health_advisories", trigger=None):
-    """Deployment form: threshold, then key/JSON records to Kafka in update
-    mode (the record order the advisory topic has always had)."""
-    air = feed_stream(spark, "air_quality", source).withWatermark("event_time", "10 minutes")
-    w = F.window("event_time", f"{advisory.WINDOW_MINUTES} minutes", f"{advisory.SLIDE_MINUTES} minute")
-    agg = (air.groupBy("zone", w.alias("w"))
-              .agg(F.sum(units("aqi")).alias("aqi_units"), F.count("aqi").alias("aqi_readings")))
-    avg = rounded_mean("aqi_units", "aqi_readings")
-    adv = (agg.join(lookups.zone_profile_side(spark), "zone", "inner")
-              .filter(mean_above("aqi_units", "aqi_readings", advisory.UNHEALTHY_AQI))
-              .select("zone", bound_string("w.start").alias("window_start"),
-                      bound_string("w.end").alias("window_end"), avg.alias("rolling_avg_aqi"),
-                      "population", "number_of_schools", avg.alias("alert_level")))
-    _, ckpt = _locations(spark, "health_advisory_kafka")
-    return sinks.start_kafka(advisory.advisory_records(adv), topic, ckpt, "health_advisory_kafka",
-                             kafka_options, trigger, output_mode="update")
+    w = F.window("event_time", f"{advisory.SLIDE_MINUTES} minute")
+    return (air.groupBy("zone", w.alias("w")).agg(F.sum(units("aqi")).alias("u"), F.count(units("aqi")).alias("n"), F.count(F.lit(1)).alias("rows"))
+            .select("zone", F.unix_millis("w.start").alias("bucket_ms"), "u", "n", "rows"))
+
+
+def start_health_advisory(spark: SparkSession, source: dict, base: str, trigger=None, watermark: str = "10 minutes") -> StreamingQuery:
+    """Update mode: each micro-batch writes the pieces it changed and reads nothing back."""
+    return sinks.start_foreach_batch(_minutes(spark, source, watermark), sinks.batch_writer(_out(base)), _checkpoint(base),
+                                     "health_advisory", trigger, output_mode="update")
+
+
+def health_advisory_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
+    base, _ = _replayed(spark, start_health_advisory, source, "health_advisory", base, **kw)
+    pieces = sinks.latest_per_key(spark, _out(base), ["zone", "bucket_ms"])
+    return advisory.advisories_of(advisory.windows_of(pieces), lookups.zone_profile_side(spark))
+
+
+def start_health_advisory_kafka(spark: SparkSession, source: dict, base: str, kafka_options: dict,
+                                topic: str = "city.health_advisories", trigger=None) -> StreamingQuery:
+    """Keyed JSON records in update mode. A micro-batch's changed pieces are joined with
+    the pieces of the windows they touch, and those windows' advisories are published."""
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        sinks.batch_writer(_out(base))(batch, batch_id)
+        touched = batch.agg(F.min("bucket_ms"), F.max("bucket_ms")).first()
+        if touched[0] is None:
+            return
+        reach = (advisory.WINDOW_MINUTES - 1) * 60_000
+        near = F.col("bucket_ms").between(touched[0] - reach, touched[1] + reach)
+        pieces = sinks.latest_per_key(spark, _out(base), ["zone", "bucket_ms"], near)
+        out = advisory.advisories_of(advisory.windows_of(pieces), lookups.zone_profile_side(spark))
+        sinks.publish(advisory.advisory_records(out), topic, kafka_options)
+
+    return sinks.start_foreach_batch(_minutes(spark, source, "10 minutes"), publish, _checkpoint(base), "health_advisory_kafka", trigger, "update")
 
 
 # ------------------------------------------------------------ stateless streams
 
-def aqi_alert_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
-    return _append_to_parquet(spark, alerts.aqi_alerts(feed_stream(spark, "air_quality", source)),
-                              "aqi_alerts", trigger)
+def start_aqi_alerts(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+    return _append(spark, alerts.aqi_alerts(feed_stream(spark, "air_quality", source)), base, "aqi_alerts", trigger)
 
 
-def dlq_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
-    return _append_to_parquet(spark, quality.dead_letters(feed_stream(spark, "air_quality", source)),
-                              "dlq", trigger)
+def aqi_alert_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_aqi_alerts, source, "aqi_alerts", base)
+    return _read(spark, base)
+
+
+def start_dlq(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+    return _append(spark, quality.dead_letters(feed_stream(spark, "air_quality", source)), base, "dlq", trigger)
+
+
+def dlq_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_dlq, source, "dlq", base)
+    return _read(spark, base)
+
+
+def start_dlq_kafka(spark: SparkSession, source: dict, base: str, kafka_options: dict, topic: str = "city.dlq", trigger=None) -> StreamingQuery:
+    """Dead-letter envelopes to their topic."""
+    records = quality.dead_letter_records(quality.dead_letters(feed_stream(spark, "air_quality", source)))
+    return sinks.start_kafka(records, topic, _checkpoint(base), "dlq_kafka", kafka_options, trigger)
 
 
 ENRICHED_COLUMNS = ["bus_id", "route_id", "lat", "lon", "speed_kmh", "occupancy_pct", "timestamp",
                     "seq", "timestamp_ms", "route_name", "scheduled_arrival_time", "terminal"]
 
 
-def enrich_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
+def start_enrich(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
     bus = feed_stream(spark, "bus_gps", source)
-    out = enrich.enrich_bus(bus, lookups.route_schedule_side(spark)).select(*ENRICHED_COLUMNS)
-    return _append_to_parquet(spark, out, "bus_enriched", trigger)
+    return _append(spark, enrich.enrich_bus(bus, lookups.route_schedule_side(spark)).select(*ENRICHED_COLUMNS), base, "bus_enriched", trigger)
+
 
+def enrich_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_enrich, source, "bus_enriched", base)
+    return _read(spark, base)
 
-def progress_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
+
+def start_progress(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
     """Per-partition message counts of the signals topic as a running
-    aggregate (update mode, upserted by partition), plus observed metrics on
-    the raw records (visible in each micro-batch's progress report)."""
-    from citystream.streaming.sources import topic_stream
+    aggregate (update mode), plus observed metrics on the raw records (visible
+    in each micro-batch's progress report)."""
     env = topic_stream(spark, "signals", source).observe(
         "signals_progress", F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset"))
     counts = (env.groupBy("partition")
                  .agg(F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset")))
-    path, ckpt = _locations(spark, "feed_progress")
-    sinks.run_to_end(sinks.start_foreach_batch(counts, sinks.batch_writer(path), ckpt,
-                                               "feed_progress", trigger, output_mode="update"))
-    final = sinks.latest_per_key(spark, path, ["partition"])
-    return progress.group_progress_from_counts(final)
+    return sinks.start_foreach_batch(counts, sinks.batch_writer(_out(base)), _checkpoint(base), "feed_progress", trigger, "update")
+
+
+def progress_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_progress, source, "feed_progress", base)
+    return progress.group_progress_from_counts(sinks.latest_per_key(spark, _out(base), ["partition"]))
 
 
 # ------------------------------------------------------------ keyed-state detectors
 
-def gridlock_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
-    sig = feed_stream(spark, "signals", source).select(
-        "junction_id", "zone", "avg_wait_sec", "timestamp_ms", "seq")
+def _gridlock(spark: SparkSession, source: dict) -> DataFrame:
+    sig = feed_stream(spark, "signals", source).select("junction_id", "zone", "avg_wait_sec", "timestamp_ms", "seq")
+    return sig.filter("junction_id IS NOT NULL").groupBy("junction_id").transformWithStateInPandas(
+        statefulProcessor=GridlockProcessor(), outputStructType=GRIDLOCK_OUT, outputMode="Append", timeMode="None")
+
+
+def _bunching(spark: SparkSession, source: dict, groups: int = GROUPS, ttl_ms: int | None = None) -> DataFrame:
+    bus = feed_stream(spark, "bus_gps", source).select("route_id", "bus_id", "lat", "lon", "timestamp_ms", "seq")
+    return (to_tiles(bus, groups).groupBy("route_id", "tile").transformWithStateInPandas(
+        statefulProcessor=BunchingProcessor(groups=groups, ttl_ms=ttl_ms), outputStructType=BUNCHING_OUT,
+        outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
+        .withColumn("distance_m", F.round("distance", 2)).drop("distance"))
+
+
+def start_gridlock(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
     with _rocksdb_state(spark):
-        out = sig.groupBy("junction_id").transformWithStateInPandas(
-            statefulProcessor=GridlockProcessor(), outputStructType=GRIDLOCK_OUT,
-            outputMode="Append", timeMode="None")
-        return _append_to_parquet(spark, out, "gridlock", trigger)
+        return _append(spark, _gridlock(spark, source), base, "gridlock", trigger)
+
+
+def gridlock_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_gridlock, source, "gridlock", base)
+    return _read(spark, base, GRIDLOCK_OUT)
 
 
-def bunching_stream(spark: SparkSession, source: dict, trigger=None,
-                    dense_max_buses: int | None = None) -> DataFrame:
-    bus = feed_stream(spark, "bus_gps", source).select(
-        "route_id", "bus_id", "lat", "lon", "timestamp_ms", "seq")
+def start_bunching(spark: SparkSession, source: dict, base: str, trigger=None, groups: int = GROUPS, ttl_ms: int | None = None) -> StreamingQuery:
     with _rocksdb_state(spark):
-        out = bus.groupBy("route_id").transformWithStateInPandas(
-            statefulProcessor=BunchingProcessor(dense_max_buses=dense_max_buses),
-            outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="None")
-        res = _append_to_parquet(spark, out, "bus_bunching", trigger)
-    return res.select("incident_type", "route_id", "bus_1", "bus_2", "timestamp_ms", "seq",
-                      F.round("distance", 2).alias("distance_m"))
+        return _append(spark, _bunching(spark, source, groups, ttl_ms), base, "bus_bunching", trigger)
+
+
+def bunching_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
+    base, _ = _replayed(spark, start_bunching, source, "bus_bunching", base, **kw)
+    return _read(spark, base)
 
 
 # ------------------------------------------------------------ unified incidents
 
-def incident_stream(spark: SparkSession, source: dict, trigger=None) -> DataFrame:
-    """The three detectors as one streaming query: AQI alerts (stateless),
-    gridlock and bunching (keyed state), unioned by name into one incident
-    sink. The Parquet sink keeps typed columns; `incidents.incident_records`
-    gives the JSON value for a Kafka topic."""
-    from citystream.operators import incidents
-    aqi = alerts.aqi_alerts(feed_stream(spark, "air_quality", source))
-    sig = feed_stream(spark, "signals", source).select(
-        "junction_id", "zone", "avg_wait_sec", "timestamp_ms", "seq")
-    bus = feed_stream(spark, "bus_gps", source).select(
-        "route_id", "bus_id", "lat", "lon", "timestamp_ms", "seq")
+def _incidents(spark: SparkSession, source: dict) -> DataFrame:
+    return incidents.unified(alerts.aqi_alerts(feed_stream(spark, "air_quality", source)), _gridlock(spark, source), _bunching(spark, source))
+
+
+def start_incidents(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+    """The three detectors as one streaming query into one incident sink."""
+    with _rocksdb_state(spark):
+        return _append(spark, _incidents(spark, source), base, "incidents", trigger)
+
+
+def start_incidents_kafka(spark: SparkSession, source: dict, base: str, kafka_options: dict, topic: str = "city.incidents", trigger=None) -> StreamingQuery:
+    """The same as JSON values of one topic."""
     with _rocksdb_state(spark):
-        grid = sig.groupBy("junction_id").transformWithStateInPandas(
-            statefulProcessor=GridlockProcessor(), outputStructType=GRIDLOCK_OUT,
-            outputMode="Append", timeMode="None")
-        bunch = (bus.groupBy("route_id").transformWithStateInPandas(
-            statefulProcessor=BunchingProcessor(), outputStructType=BUNCHING_OUT,
-            outputMode="Append", timeMode="None")
-            .withColumn("distance_m", F.round("distance", 2)).drop("distance"))
-        return _append_to_parquet(spark, incidents.unified(aqi, grid, bunch), "incidents", trigger)
+        return sinks.start_kafka(incidents.incident_records(_incidents(spark, source)), topic, _checkpoint(base), "incidents_kafka", kafka_options, trigger)
+
+
+def incident_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
+    base, _ = _replayed(spark, start_incidents, source, "incidents", base)
+    return _read(spark, base)

@@ -1,96 +1,111 @@
 """Streaming sinks and query runner.
 
 Every query has its own checkpoint location (exactly-once recovery); sinks are
-Parquet file sinks (append), `foreachBatch` writers that tag rows with the
-micro-batch id (idempotent per batch: a replayed batch overwrites its own
-`batch_id` partition), a console sink, and Kafka in deployment."""
+file sinks (append), `foreachBatch` writers that keep each micro-batch apart (a
+replayed batch overwrites its own folder), a labelled console, and Kafka in
+deployment."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-
-def _trigger(writer, trigger: dict | None):
-    trigger = trigger or {"availableNow": True}
-    return writer.trigger(**trigger)
+TO_THE_END = {"availableNow": True}
 
 
-def start_parquet(df: DataFrame, path: str, checkpoint: str, name: str,
-                  partition_by: list[str] | None = None, trigger: dict | None = None,
-                  output_mode: str = "append") -> StreamingQuery:
-    w = (df.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode(output_mode).queryName(name))
+def start_files(df: DataFrame, path: str, checkpoint: str, name: str, partition_by: list[str] | None = None,
+                trigger: dict | None = None, form: str = "parquet") -> StreamingQuery:
+    w = (df.writeStream.format(form).option("path", path)
+         .option("checkpointLocation", checkpoint).outputMode("append").queryName(name))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    return _trigger(w, trigger).start()
+    return w.trigger(**(trigger or TO_THE_END)).start()
+
+
+def print_batch(label: str, rows: int = 20):
+    """foreachBatch function that prints a label and the first rows of a micro-batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        print(f"--- {label}, batch {batch_id} ---")
+        batch.show(rows, truncate=False)
+    return write
 
 
-def start_console(df: DataFrame, checkpoint: str, name: str, trigger: dict | None = None,
+def start_console(df: DataFrame, checkpoint: str, label: str, trigger: dict | None = None,
                   output_mode: str = "append") -> StreamingQuery:
-    w = (df.writeStream.format("console").option("truncate", "false")
-         .option("checkpointLocation", checkpoint).outputMode(output_mode).queryName(name))
-    return _trigger(w, trigger or {"processingTime": "10 seconds"}).start()
+    return start_foreach_batch(df, print_batch(label), checkpoint, f"{label}_console", trigger or {"processingTime": "10 seconds"}, output_mode)
 
 
 def start_kafka(records: DataFrame, topic: str, checkpoint: str, name: str,
                 kafka_options: dict, trigger: dict | None = None,
                 output_mode: str = "append") -> StreamingQuery:
-    """`records` has `value` (and optionally `key`) columns; deployment only."""
+    """`records` has `value` (and optionally `key`) columns; needs the Kafka connector."""
     w = (records.writeStream.format("kafka").option("topic", topic)
          .options(**kafka_options).option("checkpointLocation", checkpoint)
          .outputMode(output_mode).queryName(name))
-    return _trigger(w, trigger).start()
+    return w.trigger(**(trigger or TO_THE_END)).start()
+
+
+def publish(records: DataFrame, topic: str, kafka_options: dict) -> None:
+    """Batch form, for a `foreachBatch` function."""
+    records.write.format("kafka").option("topic", topic).options(**kafka_options).save()
 
 
-def batch_writer(path: str, partition_by: list[str] | None = None,
-                 before_write: Callable[[DataFrame], DataFrame] | None = None,
-                 preview_order: list[str] | None = None, preview_rows: int = 20):
-    """foreachBatch function writing each micro-batch under
-    `path/batch_id=<id>`, overwriting that directory on replay. With
-    `preview_order`, the first `preview_rows` rows of the batch in that order
-    are printed (a top-n, never the whole batch)."""
-    def write(batch_df: DataFrame, batch_id: int) -> None:
+def batch_writer(path: str, preview_order: list[str] | None = None, form: str = "parquet", options: dict | None = None,
+                 preview_rows: int = 20):
+    """foreachBatch function writing each micro-batch under `path/batch_id=<id>`,
+    overwriting that folder on replay; `form` may be any batch format (a JDBC
+    table gets the rows appended with their batch_id). With `preview_order`, the
+    first `preview_rows` rows of the batch in that order are printed (a top-n,
+    never the whole batch)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
         if preview_order:
             print(f"--- batch {batch_id} ---")
-            batch_df.orderBy(*preview_order).show(preview_rows, truncate=False)
-        out = before_write(batch_df) if before_write else batch_df
-        (out.write.mode("overwrite")
-            .partitionBy(*(partition_by or []))
-            .parquet(f"{path}/batch_id={batch_id}"))
+            batch.orderBy(*preview_order).show(preview_rows, truncate=False)
+        if form == "jdbc":
+            batch.withColumn("batch_id", F.lit(batch_id)).write.format("jdbc").options(**(options or {})).mode("append").save()
+        else:
+            batch.write.format(form).options(**(options or {})).mode("overwrite").save(f"{path}/batch_id={batch_id}")
     return write
 
 
+def batches(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
+    """All micro-batches that a file `batch_writer` has written."""
+    return spark.read.format(form).option("header", True).load(path)
+
+
 def start_foreach_batch(df: DataFrame, fn, checkpoint: str, name: str,
                         trigger: dict | None = None, output_mode: str = "append") -> StreamingQuery:
     w = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .outputMode(output_mode).queryName(name))
-    return _trigger(w, trigger).start()
+    return w.trigger(**(trigger or TO_THE_END)).start()
 
 
-def latest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+def latest_per_key(spark: SparkSession, path: str, keys: list[str], only: Column | None = None) -> DataFrame:
     """Read an upsert log written by `batch_writer`: the row of the highest
-    batch_id per key (what a keyed upsert sink would hold)."""
+    batch_id per key (what a keyed upsert sink would hold), of the rows `only`
+    asks for."""
     log = spark.read.parquet(path)
+    if only is not None:
+        log = log.filter(only)
     value_cols = [c for c in log.columns if c not in keys and c != "batch_id"]
     last = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v"))
     return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
 def run_to_end(q: StreamingQuery) -> StreamingQuery:
+    """Waits for a query that ends by itself (availableNow)."""
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return q
 
 
-def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
     """Block until any active query of the session terminates (several
-    queries run side by side, e.g. lake ingest, console and aggregates)."""
+    queries run side by side, e.g. lake ingest, console and aggregates).
+    False if the time is over first."""
     if timeout_s is None:
         spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(int(timeout_s))
+        return True
+    return spark.streams.awaitAnyTermination(int(timeout_s))

@@ -68,35 +68,107 @@ def test_late_rows_are_dropped(spark):
     assert first == with_late        # the late copy was dropped, not counted twice
 
 
-def test_lake_written_by_stream(spark, three_batches):
-    from citystream.session import scratch_path
-    lake = scratch_path(spark, "lake-test")
-    jobs.ward_energy_stream(spark, three_batches, lake_path=lake)
-    df = spark.read.parquet(lake)
-    assert df.columns[-2:] == ["date", "ward_id"]
-    assert df.count() == 1000
-
-
 def test_incident_stream_over_three_batches(spark, con, three_batches):
     problems, n, _ = compare(jobs.incident_stream(spark, three_batches), con, ORACLE["incidents"])
     assert not problems, problems
 
 
-def test_ingest_time_fallback(spark):
+def test_dirty_feed_stream_equals_batch(spark, con, three_batches):
+    problems, n, _ = compare(jobs.dlq_stream(spark, three_batches | {"dirty": True}), con, ORACLE["dlq_dirty"])
+    assert not problems, problems
+
+
+def test_ingest_time_fallback(spark, con, three_batches):
+    """With the fallback unreadable times take the broker's, so none is a dead letter for its time."""
+    got = jobs.dlq_stream(spark, three_batches | {"dirty": True, "ingest_time_fallback": True})
+    reasons = {r.error_reason for r in got.select("error_reason").distinct().collect()}
+    assert "MALFORMED_JSON" in reasons and "UNPARSEABLE_TIMESTAMP" not in reasons
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_bunching_stream_in_any_number_of_tiles(spark, con, three_batches, groups):
+    problems, n, _ = compare(jobs.bunching_stream(spark, three_batches, groups=groups), con, ORACLE["bus_bunching"])
+    assert not problems, problems
+
+
+def test_one_route_uses_several_tiles(spark):
+    from pyspark.sql import functions as F
+    from citystream.streaming.stateful import to_tiles
+    bus = spark.range(100).select(F.lit("R1").alias("route_id"), F.col("id").cast("string").alias("bus_id"))
+    assert to_tiles(bus, 4).select("tile").distinct().count() == 10
+    assert to_tiles(bus, 4).count() == 400
+
+
+def test_detectors_survive_missing_values(spark):
+    """Rows without junction, bus, place or time: batch and stream give the same alerts."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from citystream.operators import bunching, gridlock
+    from citystream.streaming import stateful
+    waits = [200.0, 200.0, None, 200.0, 200.0, float("nan"), 200.0, 200.0, 200.0]
+    rows = [("J" if i % 9 < 9 else None, "N", w, None if i == 8 else 1000 * i, i) for i, w in enumerate(waits)] + [(None, "N", 300.0, 5, 50 + i) for i in range(3)]
+    sig = spark.createDataFrame(rows, "junction_id string, zone string, avg_wait_sec double, timestamp_ms long, seq long")
+    assert [(r.junction_id, r.timestamp_ms, r.seq) for r in gridlock.gridlock_alerts(sig).collect()] == [("J", None, 8)]
+    p = stateful.GridlockProcessor()
+    p.count = type("S", (), {"exists": lambda s: False, "update": lambda s, v: None, "clear": lambda s: None})()
+    got = pd.concat(p.handleInputRows(("J",), iter([sig.filter("junction_id = 'J'").toPandas()]), None))
+    assert got["seq"].tolist() == [8] and got["timestamp_ms"].isna().all()
+
+    t = [0, 10, None, 300011, 400000, 900000]
+    bus_rows = [("R", "AB"[i % 2], None if i == 4 else 1.0, 1.0, x, i) for i, x in enumerate(t)] + [("R", None, 1.0, 1.0, 5, 90), (None, "A", 1.0, 1.0, 5, 91)]
+    bus = spark.createDataFrame(bus_rows, "route_id string, bus_id string, lat double, lon double, timestamp_ms long, seq long")
+    batch = [(r.seq, r.bus_1) for r in bunching.bunching_alerts(bus).collect()]
+
+    class Map(dict):
+        iterator = dict.items
+        updateValue = dict.__setitem__
+        removeKey = dict.__delitem__
+
+    q = stateful.BunchingProcessor(groups=1)
+    q.positions, q.starts = Map(), Map()
+    alerts = []
+    feed = stateful.to_tiles(bus, 1).toPandas().sort_values("seq")
+    for _, part in feed.groupby(feed["seq"] // 2):     # micro-batches of two rows
+        alerts += [(r["seq"], r["bus_1"]) for _, r in pd.concat(q.handleInputRows(("R", 0), iter([part]), None)).iterrows()]
+    assert alerts == batch == [(3, "B")]
+
+
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    """File 1, stop, file 2 on the same folder: each row once."""
     from pyspark.sql import functions as F
-    from citystream import schemas
-    from citystream.sources import kafka
-    env = spark.createDataFrame(
-        [(bytearray(b"k"), bytearray(b'{"sensor_id":"S1","aqi":42,"timestamp":"garbage"}'),
-          "t", 0, 1, None)], schemas.KAFKA_ENVELOPE).withColumn(
-        "timestamp", F.timestamp_millis(F.lit(1704067200000)))
-    dec = kafka.decode(env, "air_quality")
-    assert dec.first().event_time is None
-    fixed = dec.withColumn("event_time", F.coalesce("event_time", "ingest_time"))
-    assert fixed.select(F.unix_millis("event_time")).first()[0] == 1704067200000
-
-
-def test_bunching_stream_sparse_path(spark, con, three_batches):
-    out = jobs.bunching_stream(spark, three_batches, dense_max_buses=0)
-    problems, n, _ = compare(out, con, ORACLE["bus_bunching"])
+    first = _split_events([(0, 400)])
+    base = str(tmp_path / "job")
+    assert jobs.aqi_alert_stream(spark, first, base).count() > 0
+    again = jobs.aqi_alert_stream(spark, first, base).count()
+    t = pq.read_table(f"{SF_SMALL}/events.parquet")
+    pq.write_table(t.filter(pc.greater_equal(t["event_id"], 400)), os.path.join(first["path"], "events_001.parquet"))
+    whole = jobs.aqi_alert_stream(spark, first, base)
+    assert whole.count() > again
+    problems, n, _ = compare(whole, duck(SF_SMALL), ORACLE["aqi_alerts"])
+    assert not problems, problems
+
+
+def test_lake_console_and_totals_side_by_side(spark, three_batches, tmp_path, capfd):
+    """Three live queries on one topic; one that fails or stops ends the wait."""
+    from citystream.streaming import sinks
+    queries = jobs.start_all_meters(spark, three_batches, str(tmp_path), {"processingTime": "1 second"})
+    try:
+        assert len({q.id for q in queries}) == 3 and all(q.isActive for q in queries)
+        assert not sinks.await_any(spark, 1)
+        for q in queries:
+            q.processAllAvailable()
+        queries[1].stop()
+        assert sinks.await_any(spark, 30)
+    finally:
+        for q in queries:
+            q.stop()
+        spark.streams.resetTerminated()
+    assert spark.read.parquet(str(tmp_path / "lake/out")).count() == 1000
+    said = capfd.readouterr().out
+    assert "--- smart_meters, batch 0 ---" in said and "--- batch 0 ---" in said
+
+
+def test_totals_in_another_format(spark, con, three_batches):
+    got = jobs.ward_energy_stream(spark, three_batches, form="orc")
+    problems, n, _ = compare(got, con, ORACLE["stream_ward_energy"])
     assert not problems, problems
