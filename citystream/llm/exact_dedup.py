@@ -30,7 +30,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citystream.session import shared_root
+from citystream.session import scratch_path, shared_root
 
 #: Places in which one group of equal texts is merged before the last combine.
 SALTS = 64
@@ -83,9 +83,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
     rows = _keyed(docs, id_col, text_col).drop("_norm")
-    out = rows.join(groups(docs, id_col, text_col), ["_sha", "_hash2", "_size"], "left")
+    out = rows.join(groups(docs, id_col, text_col), KEY, "left")
     alone = F.col("_n").isNull()
-    best = alone | ((F.col("_len") == F.col("_keep_len")) & F.col("_id").eqNullSafe(F.col("_keep_id")))
+    best = alone | _best(F.col("_len"), F.col("_id"))
     # repeated rows of one id: the first of the best ones
     order = Window.partitionBy("_sha", "_id").orderBy(F.col("_len").desc())
     return out.select(
@@ -94,14 +94,31 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.lower(F.hex("_sha")).alias("text_sha256"))
 
 
+KEY = ["_sha", "_hash2", "_size"]
+
+
+def _best(row_len: Column, row_id: Column) -> Column:
+    return (row_len == F.col("_keep_len")) & row_id.eqNullSafe(F.col("_keep_id"))
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all columns of docs (kept in one struct meanwhile,
-    so their names don't matter)."""
+    so their names don't matter).
+
+    Whole rows move once, in the join with the verdicts. Winners that are repeated
+    rows are found before, without texts, and written as a table of their own: it
+    is nearly always tiny, the planner sees its size, and rows needn't move for it."""
+    spark = docs.sparkSession
+    found = groups(docs, id_col, text_col)
+    path = scratch_path(spark, "exact-dedup-repeated")
+    keyed = _keyed(docs, id_col, text_col).drop("_norm").join(found, KEY).filter(_best(F.col("_len"), F.col("_id")))
+    keyed.groupBy(*KEY, "_keep_len", "_keep_id").agg(F.count("*").alias("_times")).filter("_times > 1").drop("_times").write.parquet(path)
+    repeated = spark.read.parquet(path)
     norm = docs.select(F.struct("*").alias("_row"), normalised(F.col(text_col)).alias("_norm"))
     rows = norm.select("_row", F.unhex(F.sha2("_norm", 256)).alias("_sha"), F.xxhash64("_norm").alias("_hash2"), F.length("_norm").alias("_size"))
-    joined = rows.join(groups(docs, id_col, text_col), ["_sha", "_hash2", "_size"], "left")
-    own_id, own_len = F.col(f"_row.`{id_col}`").cast("long"), F.coalesce(F.length(f"_row.`{text_col}`"), F.lit(0))
-    alone = joined.filter(F.col("_n").isNull()).select("_row.*")
-    best = joined.filter((own_len == F.col("_keep_len")) & own_id.eqNullSafe(F.col("_keep_id")))
-    one = Window.partitionBy("_sha", "_hash2", "_size").orderBy(F.lit(1))  # repeated rows of the winner
-    return alone.union(best.withColumn("_rn", F.row_number().over(one)).filter("_rn = 1").select("_row.*"))
+    own = _best(F.coalesce(F.length(f"_row.`{text_col}`"), F.lit(0)), F.col(f"_row.`{id_col}`").cast("long"))
+    verdict = found.join(repeated.select(*KEY, F.lit(True).alias("_many")), KEY, "left")
+    stays = rows.join(verdict, KEY, "left").filter(F.col("_n").isNull() | (own & F.col("_many").isNull()))
+    one = Window.partitionBy(*KEY).orderBy(F.lit(1))
+    first = rows.join(repeated, KEY).filter(own).withColumn("_rn", F.row_number().over(one)).filter("_rn = 1")
+    return stays.select("_row.*").union(first.select("_row.*"))
