@@ -40,6 +40,12 @@ def configure(spark: SparkSession) -> SparkSession:
     based) and AQE for runtime re-planning of joins and partition counts."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Python workers on this machine find the package wherever the session was
+    # started; a cluster gets it with --py-files
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
     return spark
 
 

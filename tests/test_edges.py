@@ -235,3 +235,39 @@ def test_malformed_json_keeps_text(spark):
     assert rows[2].sensor_id is None and rows[2]._corrupt_record == "{bad"
     # a record without AQI is a dead letter, never an alert
     assert quality.dead_letters(kafka.decode(env, "air_quality")).filter("seq = 2").count() == 1
+
+
+# ---------------------------------------------------------------- dirty values
+
+def test_times_that_are_no_time(spark):
+    texts = ["99999999999999999999", "9" * 400, "-1", "12:30", "2024-01-01", "2024-13-45", "2024-01-01 00:00:00.5", " 1704067200000 ", "1e12", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "timestamp string")
+    got = [r[0] for r in df.select(F.unix_millis(event_time("timestamp"))).collect()]
+    assert got == [None, None, -1, None, T0, None, T0 + 500, T0, None, None]
+
+
+def test_values_that_are_no_number(spark):
+    from citystream.operators import energy
+    bad = [float("nan"), float("inf"), -float("inf"), 1e14, 1e300, None]
+    rows = [("w", v, v, v) for v in bad] + [("w", 1.5, 230.0, 0.9), ("w", 2.25, 231.0, 0.95)]
+    df = spark.createDataFrame(rows, "ward_id string, kwh_reading double, voltage double, power_factor double")
+    got = energy.ward_energy(df.withColumn("event_time", F.timestamp_millis(F.lit(T0)))).first()
+    assert (got.total_kwh_consumed, got.avg_power_factor) == (3.75, 0.925)
+    only = energy.ward_energy(df.limit(6).withColumn("event_time", F.timestamp_millis(F.lit(T0)))).first()
+    assert only.total_kwh_consumed is None and only.avg_power_factor is None
+
+
+def test_reading_without_time_is_in_no_window(spark):
+    df = air(spark, [(1, "North", 400.0, 0), (2, "North", 100.0, 5)])
+    spoilt = df.withColumn("event_time", F.when(F.col("seq") == 2, F.col("event_time")))
+    wins = advisory.rolling_aqi(spoilt).collect()
+    assert len(wins) == 10 and all(w.window_start and w.rolling_avg_aqi == 100.0 for w in wins)
+    assert advisory.health_advisories(spoilt, lookups.zone_profile_side(spark)).count() == 0
+    assert {r.seq: r.error_reason for r in quality.dead_letters(spoilt).collect()} == {1: "UNPARSEABLE_TIMESTAMP"}
+
+
+def test_bunching_across_the_date_line_and_near_a_pole(spark):
+    """Grid columns wrap around; a pair over the line or beside a pole is found."""
+    for lat, a, b in ((0.0, 179.9995, -179.9995), (89.9999, 10.0, -170.0), (-60.0, 0.0, 0.003)):
+        rows = [(1, "A", "R", lat, a, 0), (2, "B", "R", lat, b, 10), (3, "A", "R", lat, a, 300011)]
+        assert [r[0] for r in _bunch(spark, rows)] == [3], lat
