@@ -24,6 +24,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -226,11 +227,17 @@ class Codec:
         return out
 
 
+@lru_cache(maxsize=1)
+def shared(path: str) -> Codec:
+    """One codec for all tasks that a Python worker runs, with what it remembers."""
+    return Codec(path)
+
+
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids, corrected of every row."""
 
     def encode(batches):
-        codec = Codec(path)
+        codec = shared(path)
         for batch in batches:
             for part, texts in A.slices(batch):
                 ids, offsets, wrong = codec.ids(texts)
@@ -245,7 +252,7 @@ def decoded(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
     """doc_id, text of every row of ids."""
 
     def decode(batches):
-        codec = Codec(path)
+        codec = shared(path)
         for batch in batches:
             lists = pc.fill_null(A.column(batch, "ids"), pa.scalar([], pa.list_(pa.int32())))
             counts = np.asarray(pc.list_value_length(lists), np.int64) if len(lists) else np.zeros(0, np.int64)
@@ -262,7 +269,7 @@ def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     round_trip (decoding the ids gives the text) of every row."""
 
     def both(batches):
-        codec = Codec(path)
+        codec = shared(path)
         for batch in batches:
             for part, texts in A.slices(batch):
                 ids, offsets, wrong = codec.ids(texts)
