@@ -442,13 +442,24 @@ def incidents_json(spark, sf_dir):
 
 # ------------------------------------------------------------ lake
 
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> str:
+    """The lake of a source, written once by each application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        path = scratch_path(spark, "smart_meters_lake")
+        energy.write_lake(feed(spark, sf_dir, "smart_meters"), path)
+        _LAKES[key] = path
+    return _LAKES[key]
+
+
 @register("ward_energy_lake", _ward_energy_sql(900_000))
 def ward_energy_lake(spark, sf_dir):
     """Readings landed in the date/ward-partitioned Parquet lake, then the
     15-minute totals computed from the lake."""
-    path = scratch_path(spark, "smart_meters_lake")
-    energy.write_lake(feed(spark, sf_dir, "smart_meters"), path)
-    return energy.ward_energy(energy.read_lake(spark, path), "15 minutes")
+    return energy.ward_energy(energy.read_lake(spark, _lake(spark, sf_dir)), "15 minutes")
 
 
 @register("ward_energy_lake_day", _ward_energy_sql(900_000).replace(
@@ -457,9 +468,7 @@ def ward_energy_lake(spark, sf_dir):
 def ward_energy_lake_day(spark, sf_dir):
     """Partition pruning: one day and two wards read from the lake (only
     matching date=/ward_id= directories are listed and scanned)."""
-    path = scratch_path(spark, "smart_meters_lake")
-    energy.write_lake(feed(spark, sf_dir, "smart_meters"), path)
-    lake = energy.read_lake(spark, path).filter(
+    lake = energy.read_lake(spark, _lake(spark, sf_dir)).filter(
         (F.col("date") == F.lit("2024-01-01").cast("date")) & F.col("ward_id").isin("ward_1", "ward_2"))
     return energy.ward_energy(lake, "15 minutes")
 
