@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once inside a task. A longer single text is one slice.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: ASCII white space: \x20 and \x09-\x0D.
 SPACE = np.zeros(256, bool)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from citystream.llm import arrowtext as A
 
 #: Pre-tokens whose ids a task remembers; the memory starts afresh beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 #: Byte-level BPE spells each byte as one printable character: printable Latin-1
 #: bytes as themselves, the others as characters from U+0100 on, in order.

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from citystream.llm import arrowtext as A
 
 MARK = "▁"
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 # Fixed values of the format: piece types, model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6

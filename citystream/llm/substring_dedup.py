@@ -40,9 +40,9 @@ from pyspark.sql import functions as F
 from citystream.llm import arrowtext as A
 
 #: Text that one bucket of the hash space stands for, on average.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Windows whose hashes a task sorts at once.
-BATCH_WINDOWS = 2 << 20
+BATCH_WINDOWS = 1 << 20
 
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)  # odd multipliers of the two polynomials
 LAST = 2 ** 63 - 1  # rank of a row without id
@@ -78,7 +78,7 @@ def window_hashes(words: pa.Array, offsets: np.ndarray, width: int, extra: int)
     out = []
     for seed, base in enumerate(BASES):
         if seed and not extra:
-            out.append(np.zeros(len(first), np.uint64))
+            out.append(np.zeros(len(first), np.uint8))  # no second hash: as little memory as can be
             continue
         each = np.fromiter((xxhash.xxh64_intdigest(k, seed) for k in keys), np.uint64, len(keys))[index]
         run = each[:len(each) - width + 1].copy()
@@ -156,7 +156,7 @@ def repeated(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str)
         own, known = [], []
         for row in table.to_batches():
             for is_known, n, h, second, base, r in zip(*(A.column(row, c).to_pylist() for c in ("known", "n", "hash", "second", "base", "rank"))):
-                (known if is_known else own).append((np.cumsum(unpacked(h, n), dtype=np.uint64), unpacked(second, n), unpacked(r, n).astype(np.int64) + base))
+                (known if is_known else own).append((np.cumsum(unpacked(h, n), dtype=np.uint64), unpacked(second, n).astype(np.uint64 if at.extra else np.uint8), unpacked(r, n).astype(np.int64) + base))
         if own:
             h, second, r = (np.concatenate(x) for x in zip(*own))
             order = np.lexsort((r, second, h)) if second.any() else np.lexsort((r, h))
@@ -165,7 +165,7 @@ def repeated(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str)
             again = r > np.repeat(r[new], np.diff(np.append(np.flatnonzero(new), len(r))))
             known.append((h[again], second[again], r[again]))
         h, second, r = (np.concatenate(x) for x in zip(*known))
-        return pa.table({"rank": pa.array(r, pa.int64()), "hash": pa.array(h.view(np.int64), pa.int64()), "second": pa.array(second.view(np.int64), pa.int64())})
+        return pa.table({"rank": pa.array(r, pa.int64()), "hash": pa.array(h.view(np.int64), pa.int64()), "second": pa.array(second.astype(np.uint64).view(np.int64), pa.int64())})
 
     own = docs.select(rank(F.col(id_col)).alias("rank"), F.col(text_col).alias("text"))
     return own.mapInArrow(hashed, CELL).groupBy("bucket").applyInArrow(met, "rank long, hash long, second long")
