@@ -9,9 +9,9 @@ unknown class is calibrated on lines and altered copies that training does not
 see: its intercept is raised until at most FALSE_SHARE of the held-out unknown
 lines are taken for a licence.
 
-In Spark only lines that hold an anchor are scored. Every n-gram of the model has
-a word that is rare in the corpus, an anchor; a line without any has nothing
-that speaks for a family, and unknown wins by its intercept, so nothing is lost. A line's n-grams
+In Spark only lines that hold a key are scored. Keys follow from the templates and
+CONFIRM alone: what holds that share of a template's n-grams holds one of its keys, so
+nothing is lost, however frequent a notice or its words are in the corpus. A line's n-grams
 are joined with the weights (bounded by the templates' n-grams) and summed up
 per line. A prediction counts once a template of its family confirms it: the
 share of the template's n-grams that the line holds must reach CONFIRM.
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,8 +58,6 @@ SAMPLE_LINES = 4096
 EPOCHS = 60
 L1 = 2e-4
 FALSE_SHARE = 0.001
-#: Words in more than this share of the sampled lines are common: an n-gram needs another word.
-COMMON = 0.002
 CONFIRM = 0.5
 
 
@@ -89,31 +86,51 @@ class Classifier:
     weights: dict[str, tuple[float, ...]]  # of each n-gram, above those of unknown
     intercepts: tuple[float, ...]
 
-    common: frozenset[str]  # words that alone make no n-gram of the model
 
-    @property
-    def anchors(self) -> list[str]:
-        """Words one of which every line has that a family can win: without one of
-        them a line has no n-gram of the model, and every intercept is below unknown's."""
-        return sorted({w for g, m in self.weights.items() if max(m) > 0 for w in g.split(" ")} - self.common)
+def keys(text: str) -> set[str]:
+    """N-grams one of which everything has that holds CONFIRM of a template: its pairs
+    of words, or its words where these are that share by themselves."""
+    words = words_of(text)
+    pairs = {" ".join(words[i:i + 2]) for i in range(len(words) - 1)}
+    return set(words) if len(set(words)) >= CONFIRM * len(grams_of(words)) else pairs
 
 
-def sample(docs: DataFrame, text_col: str) -> list[str]:
+def key_pattern(templates: dict[str, list[str]]) -> str:
+    """A pattern of lower-case texts that hold a key of any template."""
+    after: dict[str, set[str]] = {}
+    for key in set().union(*(keys(t) for texts in templates.values() for t in texts)):
+        first, _, rest = key.partition(" ")
+        after.setdefault(first, set()).add(rest)
+    ways = [w if "" in rest else w + "[^a-z0-9]+(?:" + "|".join(sorted(rest)) + ")" for w, rest in sorted(after.items())]
+    return "(?<![a-z0-9])(?:" + "|".join(ways) + ")(?![a-z0-9])"
+
+
+def sample(docs: DataFrame, text_col: str, templates: dict[str, list[str]] = TEMPLATES) -> list[str]:
     """At most SAMPLE_LINES lines of the corpus, a repeatable choice by hash: of each
-    of SAMPLE_LINES / 4 buckets of the texts' hash the text with the least one, and four of its lines."""
+    of SAMPLE_LINES / 4 buckets of the texts' hash the text with the least one, and four of
+    its lines, spread over it. A line that with its surroundings holds CONFIRM of a template is left out."""
     texts = docs.select(F.col(text_col).alias("t")).filter("t IS NOT NULL").withColumn("h", F.xxhash64("t"))
     chosen = texts.select("h").groupBy(F.pmod("h", F.lit(SAMPLE_LINES // 4)).alias("b")).agg(F.min("h").alias("h")).select("h")
     # SAMPLE_LINES / 4 rows at most, so they go to the texts
-    lines = texts.join(F.broadcast(chosen), "h", "left_semi").select("h", F.slice(F.filter(F.split("t", "\\R"), lambda x: F.length(F.trim(x)) > 0), 1, 4).alias("l"))
-    rows = lines.select("h", F.explode("l").alias("line")).select("h", F.substring("line", 1, 2000).alias("line")).distinct().collect()
-    return [r["line"] for r in sorted(rows)]
+    lines = texts.join(F.broadcast(chosen), "h", "left_semi").select("h", F.filter(F.split("t", "\\R"), lambda x: F.length(F.trim(x)) > 0).alias("l"))
+    at = F.explode(F.array_distinct(F.array(*[F.floor(F.size("l") * k / 8).cast("int") + 1 for k in (1, 3, 5, 7)])))
+    own = lines.filter(F.size("l") > 0).select("h", "l", at.alias("i")).withColumn("line", F.element_at("l", F.col("i")))
+    before = F.concat_ws(" ", F.slice("l", F.greatest(F.col("i") - 4, F.lit(1)), F.least(F.col("i") - 1, F.lit(4))))
+    after = F.concat_ws(" ", F.substring("line", 2001, 400), F.slice("l", F.col("i") + 1, 4))
+    rows = own.select("h", F.substring("line", 1, 2000).alias("line"), F.substring(before, -400, 400).alias("before"), F.substring(after, 1, 400).alias("after")).distinct().collect()
+    known = [grams_of(words_of(t)) for texts in templates.values() for t in texts]
+    left = {(r["h"], r["line"]) for r in rows if not holds(" ".join((r["before"], r["line"], r["after"])), known)}
+    return [line for _, line in sorted(left)]
+
+
+def holds(text: str, known: list[set[str]]) -> bool:
+    own = grams_of(words_of(text))
+    return any(len(own & t) >= CONFIRM * len(t) for t in known)
 
 
 def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) -> Classifier:
     rng = np.random.default_rng(seed)
-    frequent = Counter(w for line in lines for w in set(words_of(line)))
-    common = {w for w, n in frequent.items() if n > COMMON * len(lines)}
-    vocabulary = sorted(g for g in set().union(*(grams_of(words_of(t)) for texts in templates.values() for t in texts)) if not common.issuperset(g.split(" ")))
+    vocabulary = sorted(set().union(*(grams_of(words_of(t)) for texts in templates.values() for t in texts)))
     column = {g: i for i, g in enumerate(vocabulary)}
     families = (*sorted(templates), UNKNOWN)
     known = [grams_of(words_of(t)) for texts in templates.values() for t in texts]
@@ -130,9 +147,8 @@ def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) ->
     strange = len(examples)
     # corpus lines are unknown, but for those that hold most of a template
     for line in lines:
-        own = grams_of(words_of(line))
-        if not any(len(own & t) >= CONFIRM * len(t) for t in known):
-            examples.append((own, len(families) - 1))
+        if not holds(line, known):
+            examples.append((grams_of(words_of(line)), len(families) - 1))
     own_lines = slice(strange, len(examples))
     # single words of licences, out of place, are unknown as well
     for word in sorted({w for texts in templates.values() for t in texts for w in words_of(t)}):
@@ -164,7 +180,7 @@ def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) ->
     most = float(np.quantile(over, 1 - FALSE_SHARE)) if len(over) else 0.0
     base = base - max(0.0, most, float(base.max()) + 1e-3)
     used = np.flatnonzero(np.abs(margin).max(axis=1) > 1e-4)
-    return Classifier(families, {vocabulary[i]: tuple(float(round(v, 5)) for v in margin[i]) for i in used}, tuple(float(v) for v in base), frozenset(common))
+    return Classifier(families, {vocabulary[i]: tuple(float(round(v, 5)) for v in margin[i]) for i in used}, tuple(float(v) for v in base))
 
 
 def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -179,9 +195,9 @@ def found(docs: DataFrame, model: Classifier, templates: dict[str, list[str]], i
     `row` tells rows apart that share an id: a hash of the text."""
     spark = docs.sparkSession
     names = model.families[:-1]
-    anchor = "(?i)(?<![a-z0-9])(" + "|".join(map(re.escape, model.anchors)) + ")(?![a-z0-9])"
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(F.col("text").rlike(anchor))
-    lines = own.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\\R")).alias("line", "said")).filter(F.col("said").rlike(anchor))
+    pattern = key_pattern(templates)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(F.lower("text").rlike(pattern))
+    lines = own.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\\R")).alias("line", "said")).filter(F.lower("said").rlike(pattern))
     grams = lines.distinct().withColumn("grams", word_grams(F.col("said"))).select("doc_id", "row", "line", "grams")
     weights = _table(spark, [(g, list(w)) for g, w in sorted(model.weights.items())], "gram string, w array<double>")
     sums = [F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(len(names))]
@@ -198,7 +214,7 @@ def found(docs: DataFrame, model: Classifier, templates: dict[str, list[str]], i
 
 
 def fitted(docs: DataFrame, text_col: str = "text", templates: dict[str, list[str]] = TEMPLATES) -> Classifier:
-    return train(sample(docs, text_col), templates)
+    return train(sample(docs, text_col, templates), templates)
 
 
 def scan(docs: DataFrame, model: Classifier | None = None, templates: dict[str, list[str]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

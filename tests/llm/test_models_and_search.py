@@ -62,6 +62,14 @@ def test_licences_by_family(spark):
     assert {r["doc_id"]: r["licences"] for r in licenses.scan(odd, model).collect()} == {1: "Apache", 2: "", 3: "", 4: "MIT"}
 
 
+def test_frequent_notice_is_found(spark):
+    """A third of the documents open with one notice: its words are no reason to drop it."""
+    said = "Licensed under the Apache License, Version 2.0."
+    rows = [(i, (said + "\n" if i % 3 == 0 else "") + f"plain words of document {i}\nand the second line {i * 7}\nwith {i} more") for i in range(300)]
+    got = {r["doc_id"]: r["licences"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: "Apache" if i % 3 == 0 else "" for i in range(300)}
+
+
 def test_licences_of_odd_rows(spark, docs, none):
     model = licenses.train(["one plain line", "another plain line"], licenses.TEMPLATES)
     got = Counter(map(tuple, licenses.scan(docs, model).select("doc_id", "licences", "n_lines").collect()))
