@@ -1,6 +1,8 @@
-"""License scans (operator 9): a trained paragraph classifier, from DataFrame functions only.
+"""License scans (operator 9): a trained classifier of paragraphs' word spans, from DataFrame functions only.
 
-Paragraphs are the lines of a text. Their features are word n-grams, and a
+A paragraph is a run of lines that hold a letter or digit; its lines are joined, so
+comment marks and line breaks don't matter. Its spans are scored: those that are at most
+WIDEST times as long as a template, so several notices of a paragraph are told apart. Their features are word n-grams, and a
 multinomial logistic regression with sparse weights (an L1 step after each
 gradient step) tells the licence families and the class `unknown` apart. It is
 trained on the driver from the templates below, in bounded numbers of altered
@@ -9,12 +11,14 @@ unknown class is calibrated on lines and altered copies that training does not
 see: its intercept is raised until at most FALSE_SHARE of the held-out unknown
 lines are taken for a licence.
 
-In Spark only lines that hold a key are scored. Keys follow from the templates and
-CONFIRM alone: what holds that share of a template's n-grams holds one of its keys, so
-nothing is lost, however frequent a notice or its words are in the corpus. A line's n-grams
-are joined with the weights (bounded by the templates' n-grams) and summed up
-per line. A prediction counts once a template of its family confirms it: the
-share of the template's n-grams that the line holds must reach CONFIRM.
+A prediction counts only where a template of its family confirms it: the share of
+the template's n-grams that the span holds must reach CONFIRM. So in Spark only spans
+are scored that a template confirms, and only texts are cut that hold a key. Keys
+follow from the templates and CONFIRM alone: what holds that share of a template's n-grams
+holds one of its keys, so nothing is lost, however frequent a notice or its words are in
+the corpus. The n-grams of the distinct spans are joined with the weights (bounded by the
+templates' n-grams) and summed up. Of spans that overlap the one that holds
+most n-grams counts, then the shortest, then the first.
 
 Defined results: a null text has no lines; a null id is carried; rows that
 repeat an id and text give equal results; of templates that fit equally well
@@ -26,6 +30,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,6 +64,10 @@ EPOCHS = 60
 L1 = 2e-4
 FALSE_SHARE = 0.001
 CONFIRM = 0.5
+#: A notice's span has at most so many times its template's words.
+WIDEST = 2
+#: Words at which the spans of one row of work begin.
+STARTS = 64
 
 
 def words_of(text: str) -> list[str]:
@@ -85,24 +94,26 @@ class Classifier:
     families: tuple[str, ...]  # the last one is UNKNOWN
     weights: dict[str, tuple[float, ...]]  # of each n-gram, above those of unknown
     intercepts: tuple[float, ...]
+    seen: dict[str, int]  # sampled lines that hold a word of the templates
 
 
-def keys(text: str) -> set[str]:
-    """N-grams one of which everything has that holds CONFIRM of a template: its pairs
-    of words, or its words where these are that share by themselves."""
-    words = words_of(text)
-    pairs = {" ".join(words[i:i + 2]) for i in range(len(words) - 1)}
-    return set(words) if len(set(words)) >= CONFIRM * len(grams_of(words)) else pairs
+def needed(text: str) -> int:
+    """N-grams of a template that CONFIRM asks for."""
+    n = len(grams_of(words_of(text)))
+    return next(k for k in range(1, n + 1) if k >= CONFIRM * n)
 
 
-def key_pattern(templates: dict[str, list[str]]) -> str:
-    """A pattern of lower-case texts that hold a key of any template."""
-    after: dict[str, set[str]] = {}
-    for key in set().union(*(keys(t) for texts in templates.values() for t in texts)):
-        first, _, rest = key.partition(" ")
-        after.setdefault(first, set()).add(rest)
-    ways = [w if "" in rest else w + "[^a-z0-9]+(?:" + "|".join(sorted(rest)) + ")" for w, rest in sorted(after.items())]
-    return "(?<![a-z0-9])(?:" + "|".join(ways) + ")(?![a-z0-9])"
+def keys(templates: dict[str, list[str]], seen: dict[str, int]) -> list[str]:
+    """Words one of which everything has that holds CONFIRM of a template: the n-grams without
+    any of them are too few. `seen` (uses in the corpus) only makes them rare ones."""
+    chosen: set[str] = set()
+    for text in sorted(t for texts in templates.values() for t in texts):
+        grams = [set(g.split(" ")) for g in grams_of(words_of(text))]
+        for word in sorted(set().union(*grams), key=lambda w: (seen.get(w, 0), w)):
+            if sum(not g & chosen for g in grams) < needed(text):
+                break
+            chosen.add(word)
+    return sorted(chosen)
 
 
 def sample(docs: DataFrame, text_col: str, templates: dict[str, list[str]] = TEMPLATES) -> list[str]:
@@ -130,10 +141,11 @@ def holds(text: str, known: list[set[str]]) -> bool:
 
 def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) -> Classifier:
     rng = np.random.default_rng(seed)
-    vocabulary = sorted(set().union(*(grams_of(words_of(t)) for texts in templates.values() for t in texts)))
+    known = [grams_of(words_of(t)) for texts in templates.values() for t in texts]
+    vocabulary = sorted(set().union(*known))
+    seen = dict(Counter(w for line in lines if not holds(line, known) for w in set(words_of(line)).intersection(vocabulary)))
     column = {g: i for i, g in enumerate(vocabulary)}
     families = (*sorted(templates), UNKNOWN)
-    known = [grams_of(words_of(t)) for texts in templates.values() for t in texts]
     examples: list[tuple[set[str], int]] = []
     for k, family in enumerate(families[:-1]):
         for text in templates[family]:
@@ -180,7 +192,7 @@ def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) ->
     most = float(np.quantile(over, 1 - FALSE_SHARE)) if len(over) else 0.0
     base = base - max(0.0, most, float(base.max()) + 1e-3)
     used = np.flatnonzero(np.abs(margin).max(axis=1) > 1e-4)
-    return Classifier(families, {vocabulary[i]: tuple(float(round(v, 5)) for v in margin[i]) for i in used}, tuple(float(v) for v in base))
+    return Classifier(families, {vocabulary[i]: tuple(float(round(v, 5)) for v in margin[i]) for i in used}, tuple(float(v) for v in base), seen)
 
 
 def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -190,27 +202,89 @@ def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
     return spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(data), f"array<struct<{schema.replace(' ', ':')}>>".replace(",:", ","))))
 
 
+def chunks(docs: DataFrame, rare: list[str], templates: dict[str, list[str]], id_col: str, text_col: str) -> DataFrame:
+    """doc_id, row, base, words (w, line): of every text with a key (`rare`) the runs of words that hold one. A
+    span begins in the first STARTS words of one run and ends in it. A line without letter or digit is the word ''."""
+    reach = STARTS + WIDEST * max(len(words_of(t)) for texts in templates.values() for t in texts)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(F.lower("text").rlike("(?<![a-z0-9])(?:" + "|".join(rare) + ")(?![a-z0-9])"))
+
+    def words(said: Column, line: Column) -> Column:
+        w = F.when(said.rlike("[\\p{L}\\p{N}]"), F.regexp_extract_all(F.lower(said), F.lit("[a-z0-9]+"), F.lit(0))).otherwise(F.array(F.lit("")))
+        return F.transform(w, lambda x: F.struct(x.alias("w"), line.alias("line")))
+
+    whole = own.select("doc_id", F.xxhash64("text").alias("row"), F.flatten(F.transform(F.split("text", "\\R"), words)).alias("all"))
+    bases = F.sequence(F.lit(0), F.size("all") - 1, F.lit(STARTS))
+    runs = F.transform(bases, lambda b: F.struct(b.alias("base"), F.slice("all", b + 1, reach).alias("words")))
+    held = F.filter(runs, lambda r: F.exists(r["words"], lambda x: x["w"].isin(rare)))
+    return whole.filter(F.size("all") > 0).select("doc_id", "row", F.inline(held)).distinct()
+
+
+def spans(runs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
+    """doc_id, row, line, at, width, said, family, template, held, likeness: every span that holds
+    CONFIRM of a template and ends with the first hold of one of its n-grams."""
+    table = _table(runs.sparkSession, [
+        (f, t, sorted(grams_of(words_of(t))), WIDEST * len(words_of(t)), needed(t))
+        for f in sorted(templates) for t in templates[f]], "family string, template string, parts array<string>, widest int, need int")
+
+    def grams(n: int) -> Column:
+        ends = F.size("w") - n + 1
+        own = F.transform(F.sequence(F.lit(1), F.greatest(ends, F.lit(1))), lambda i: F.array_join(F.slice("w", i, n), " "))
+        return F.when(ends > 0, own).otherwise(F.array().cast("array<string>"))
+
+    own = runs.withColumn("w", F.col("words.w"))
+    own = own.select("doc_id", "row", "base", "w", F.col("words.line").alias("lines"), *[grams(n).alias(f"g{n}") for n in GRAMS])
+    every = sorted(set().union(*(grams_of(words_of(t)) for texts in templates.values() for t in texts)))
+    own = own.withColumn("known", F.array_distinct(F.filter(F.concat(*[f"g{n}" for n in GRAMS]), lambda g: g.isin(every))))
+    # a run that holds too few of a template's n-grams has no span of it
+    own = own.filter(F.size("known") >= min(needed(t) for texts in templates.values() for t in texts))
+    own = own.join(F.broadcast(table), F.size(F.array_intersect("known", "parts")) >= F.col("need"))
+    # the number of each n-gram among the template's, 0 for others
+    own = own.select("doc_id", "row", "base", "w", "lines", "family", "template", "widest", "need", F.size("parts").alias("n_parts"), *[F.transform(f"g{n}", lambda g: F.array_position("parts", g).cast("int")).alias(f"g{n}") for n in GRAMS])
+
+    def firsts(i: Column) -> Column:
+        """Sorted widths at which a span from word i comes to hold another n-gram of the template."""
+        stop = F.array_position(F.slice("w", i, F.col("widest")), "").cast("int")  # a paragraph's end
+        width = F.when(stop > 0, stop - 1).otherwise(F.col("widest"))
+
+        def ends(n: int) -> Column:
+            return F.transform(F.slice(f"g{n}", i, F.greatest(width - n + 1, F.lit(0))), lambda g, k: F.struct(g.alias("g"), (k + n).alias("width")))
+
+        holds_at = F.sort_array(F.filter(F.concat(*map(ends, GRAMS)), lambda x: x["g"] > 0))
+        return F.array_sort(F.transform(F.array_distinct(holds_at["g"]), lambda g: F.element_at(holds_at, F.array_position(holds_at["g"], g).cast("int"))["width"]))
+
+    starts = F.filter(F.sequence(F.lit(1), F.least(F.size("w"), F.lit(STARTS))), lambda i: F.element_at("g1", i) > 0)
+    found_at = F.filter(F.transform(starts, lambda i: F.struct(i.alias("i"), firsts(i).alias("widths"))), lambda x: F.size(x["widths"]) >= F.col("need"))
+    own = own.withColumn("start", F.explode(found_at)).select("*", F.posexplode("start.widths").alias("k", "width")).withColumn("held", F.col("k") + 1)
+    # of equal widths the last one has the count
+    more = F.coalesce(F.get("start.widths", F.col("held")), F.lit(0)) != F.col("width")
+    own = own.filter((F.col("held") >= F.col("need")) & more)
+    i = F.col("start.i")
+    return own.select("doc_id", "row", F.element_at("lines", i).alias("line"), (F.col("base") + i).alias("at"), "width", F.array_join(F.slice("w", i, F.col("width")), " ").alias("said"), "family", "template", "held", (F.col("held") / F.col("n_parts")).alias("likeness"))
+
+
 def found(docs: DataFrame, model: Classifier, templates: dict[str, list[str]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, line, family, probability, template, likeness of every confirmed line.
+    """row, doc_id, line (where it begins), family, probability, template, likeness of every confirmed notice.
     `row` tells rows apart that share an id: a hash of the text."""
     spark = docs.sparkSession
     names = model.families[:-1]
-    pattern = key_pattern(templates)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(F.lower("text").rlike(pattern))
-    lines = own.select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\\R")).alias("line", "said")).filter(F.lower("said").rlike(pattern))
-    grams = lines.distinct().withColumn("grams", word_grams(F.col("said"))).select("doc_id", "row", "line", "grams")
+    near = spans(chunks(docs, keys(templates, model.seen), templates, id_col, text_col), templates).checkpoint()
+    grams = near.select("said").distinct().withColumn("gram", F.explode(word_grams(F.col("said"))))
     weights = _table(spark, [(g, list(w)) for g, w in sorted(model.weights.items())], "gram string, w array<double>")
     sums = [F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(len(names))]
-    scored = grams.select("doc_id", "row", "line", "grams", F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram").groupBy("doc_id", "row", "line", "grams").agg(*sums)
+    scored = grams.join(F.broadcast(weights), "gram").groupBy("said").agg(*sums)
     scores = F.array(*[F.struct((F.col(f"s{k}") + F.lit(model.intercepts[k])).alias("score"), F.lit(-k).alias("order"), F.lit(n).alias("family")) for k, n in enumerate(names)])
     best = scored.withColumn("scores", scores).withColumn("best", F.array_max("scores")).filter(F.col("best.score") > 0)
     # softmax with unknown at score 0
     odds = F.aggregate(F.transform("scores", lambda s: F.exp(s["score"] - F.col("best.score"))), F.lit(0.0), lambda a, v: a + v) + F.exp(-F.col("best.score"))
-    texts = _table(spark, [(f, t, sorted(grams_of(words_of(t)))) for f in names for t in templates[f]], "family string, template string, parts array<string>")
-    likeness = F.size(F.array_intersect("grams", "parts")) / F.size("parts")
-    met = best.select("doc_id", "row", "line", "grams", F.col("best.family").alias("family"), (F.lit(1.0) / odds).alias("probability")).join(F.broadcast(texts), "family").withColumn("likeness", likeness)
-    first = met.groupBy("doc_id", "row", "line", "family", "probability").agg(F.max(F.struct(F.col("likeness"), F.col("template"))).alias("fit"))
-    return first.select("doc_id", "row", "line", "family", F.round("probability", 6).alias("probability"), F.col("fit.template").alias("template"), F.col("fit.likeness").alias("likeness")).filter(F.col("likeness") >= CONFIRM)
+    met = near.join(best.select("said", F.col("best.family").alias("family"), F.round(F.lit(1.0) / odds, 6).alias("probability")), ["said", "family"])
+    ranked = met.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct((-F.col("held")).alias("order"), "width", "at", "family", "template", "line", "probability", "likeness"))).alias("ranked"))
+
+    def apart(chosen: Column, x: Column) -> Column:
+        meets = F.exists(chosen, lambda c: (c["at"] < x["at"] + x["width"]) & (x["at"] < c["at"] + c["width"]))
+        return F.when(meets, chosen).otherwise(F.concat(chosen, F.array(x)))
+
+    first = ranked.select("doc_id", "row", F.inline(F.aggregate("ranked", F.filter("ranked", lambda x: F.lit(False)), apart)))
+    return first.select("doc_id", "row", "line", "family", "probability", "template", "likeness")
 
 
 def fitted(docs: DataFrame, text_col: str = "text", templates: dict[str, list[str]] = TEMPLATES) -> Classifier:
@@ -218,12 +292,12 @@ def fitted(docs: DataFrame, text_col: str = "text", templates: dict[str, list[st
 
 
 def scan(docs: DataFrame, model: Classifier | None = None, templates: dict[str, list[str]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, licences (families found, sorted, joined by a comma), n_lines (confirmed
-    lines), probability (the least one of them, 0 without any) of every row."""
+    """doc_id, licences (families found, sorted, joined by a comma), n_lines (lines at which a confirmed
+    notice begins), probability (the least one of them, 0 without any) of every row."""
     shared_root(docs.sparkSession)
     model = model or fitted(docs, text_col, templates)
     hits = found(docs, model, templates, id_col, text_col).groupBy("doc_id", "row").agg(
-        F.array_join(F.sort_array(F.collect_set("family")), ",").alias("licences"), F.count("*").alias("n_lines"), F.min("probability").alias("probability")).checkpoint()
+        F.array_join(F.sort_array(F.collect_set("family")), ",").alias("licences"), F.count_distinct("line").alias("n_lines"), F.min("probability").alias("probability")).checkpoint()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("row"))
     at = rows["doc_id"].eqNullSafe(hits["doc_id"]) & (rows["row"] == hits["row"])
     return rows.join(hits, at, "left").select(rows["doc_id"], F.coalesce("licences", F.lit("")).alias("licences"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("probability", F.lit(0.0)).alias("probability"))

@@ -70,6 +70,20 @@ def test_frequent_notice_is_found(spark):
     assert got == {i: "Apache" if i % 3 == 0 else "" for i in range(300)}
 
 
+def test_wrapped_notices(spark):
+    """A notice may break over lines and stand behind comment marks, but not go over a paragraph's end."""
+    bsd = ["Redistribution and use in source and binary forms,", "with or without modification, are permitted provided", "that the following conditions are met:"]
+    mit = ["Permission is hereby granted, free of charge, to any", "person obtaining a copy of this software and", "associated documentation files, to deal in the", "Software without restriction."]
+    gpl = ["This program is free software: you can redistribute", "it and/or modify it under the terms of the GNU General", "Public License."]
+    cc = ["This work is licensed under a Creative Commons", "Attribution-NonCommercial 4.0 International License."]
+    long = "word " * 500
+    rows = [(1, "\n".join(bsd)), (2, "/*\n" + "\r\n".join(" * " + x for x in mit) + "\n */"), (3, "code\n" + "\n".join("# " + x for x in gpl)), (4, long + "\n".join(cc) + "\n" + long),
+            (5, "\n\n".join(bsd)), (6, "\n # \n".join(" # " + x for x in bsd)), (7, "\n".join(cc + bsd + gpl + mit)), (8, long * 3 + " ".join(gpl) + "\n \n" + "\n".join(mit))]
+    model = licenses.train(["one plain line", "another plain line"], licenses.TEMPLATES)
+    got = {r["doc_id"]: (r["licences"], r["n_lines"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: ("BSD", 1), 2: ("MIT", 1), 3: ("GPL", 1), 4: ("CC-BY-NC", 1), 5: ("", 0), 6: ("", 0), 7: ("BSD,CC-BY-NC,GPL,MIT", 4), 8: ("GPL,MIT", 2)}
+
+
 def test_licences_of_odd_rows(spark, docs, none):
     model = licenses.train(["one plain line", "another plain line"], licenses.TEMPLATES)
     got = Counter(map(tuple, licenses.scan(docs, model).select("doc_id", "licences", "n_lines").collect()))
