@@ -133,6 +133,31 @@ def test_detectors_survive_missing_values(spark):
     assert alerts == batch == [(3, "B")]
 
 
+def test_bunching_memory_follows_open_episodes():
+    """6000 buses of one tile, of which two are near: no room for all pairs of buses."""
+    import tracemalloc
+    import pandas as pd
+    from citystream.streaming import stateful
+
+    class Map(dict):
+        iterator = dict.items
+        updateValue = dict.__setitem__
+        removeKey = dict.__delitem__
+
+    q = stateful.BunchingProcessor(groups=1)
+    q.positions, q.starts = Map(), Map()
+    n = 6000
+    feed = pd.DataFrame({"bus_id": [f"B{i:05d}" for i in range(n)] + ["B00000", "B00001"], "grp": 0, "lat": [0.0, 0.0] + [0.01 * i for i in range(2, n)] + [0.0, 0.0],
+                         "lon": [180.0, -179.9999] + [10.0] * (n - 2) + [180.0, -179.9999], "timestamp_ms": [0] * n + [10 ** 6] * 2, "seq": range(n + 2)})
+    tracemalloc.start()
+    got = pd.concat(q.handleInputRows(("R", 0), iter([feed]), None))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["bus_1"], r["bus_2"], r["seq"]) for _, r in got.iterrows()] == [("B00000", "B00001", n)]
+    assert len(q.positions) == n and len(q.starts) == 1     # opened again by the last event
+    assert peak < 40 * 2 ** 20
+
+
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     """File 1, stop, file 2 on the same folder: each row once."""
     from pyspark.sql import functions as F
