@@ -57,7 +57,7 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF, None)
     if not root:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError(f"{CHECKPOINT_CONF} is unset: name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="citystream-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)

@@ -50,7 +50,8 @@ def decode(env: DataFrame, feed_name: str) -> DataFrame:
     schema = T.StructType(schemas.FEEDS[feed_name].fields + [T.StructField(CORRUPT, T.StringType())])
     data = F.from_json(F.col("value").cast("string"), schema,
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return (env.select(data.alias("data"), F.col("offset").alias("seq"), "partition",
+    # a generator is a barrier for filters: pushed below the decode, each reference to a
+    # field would parse the value again
+    return (env.select(F.inline(F.array(data)), F.col("offset").alias("seq"), "partition",
                        F.col("timestamp").alias("ingest_time"))
-               .select("data.*", "seq", "partition", "ingest_time")
                .withColumn("event_time", event_time("timestamp")))

@@ -43,11 +43,13 @@ def zone_profile(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 def route_schedule(spark: SparkSession, path: str | None = None) -> DataFrame:
     """One row per route_id; with duplicate keys the row nearest the end of
-    the file wins, as a dictionary built in file order would keep it."""
+    the file wins, as a dictionary built in file order would keep it. Several
+    files count in the order of their paths. A split of a file is read in order
+    by one task, so path, the split's start and the row's place in it give the order."""
     if path is None:
         return spark.createDataFrame(ROUTE_SCHEDULE_ROWS, schemas.ROUTE_SCHEDULE)
     raw = (spark.read.csv(path, schema=schemas.ROUTE_SCHEDULE, header=True)
-           .withColumn("_pos", F.monotonically_increasing_id()))
+           .withColumn("_pos", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())))
     fields = [c for c in schemas.ROUTE_SCHEDULE.fieldNames() if c != "route_id"]
     return (raw.groupBy("route_id")
             .agg(F.max_by(F.struct(*fields), F.col("_pos")).alias("_last"))

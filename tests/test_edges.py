@@ -213,6 +213,27 @@ def test_duplicate_lookup_key_last_row_wins(spark):
     assert {(r.route_name, r.terminal) for r in out} == {("New Name", "New Terminal")}
 
 
+def test_last_row_wins_over_files_and_splits(spark, tmp_path):
+    """Files of unlike size (tasks take the largest first) in many small splits."""
+    head = "route_id,route_name,scheduled_arrival_time,terminal\n"
+    line = lambda i, tag: f"R{i % 7},{tag} {i:04d},08:00:00,Terminal\n"
+    (tmp_path / "a.csv").write_text(head + "".join(line(i, "first") for i in range(2000)))
+    (tmp_path / "b.csv").write_text(head + "".join(line(i, "second") for i in range(300)))
+    (tmp_path / "c.csv").write_text(head + "".join(line(i, "third") for i in range(3)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        side = lookups.route_schedule(spark, str(tmp_path))
+        assert spark.read.csv(str(tmp_path), schema=schemas.ROUTE_SCHEDULE, header=True).rdd.getNumPartitions() > 8
+        got = {r.route_id: r.route_name for r in side.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    second = {i % 7: f"second {i:04d}" for i in range(300)}
+    assert got == {f"R{k}": f"third {k:04d}" if k < 3 else name for k, name in second.items()}
+
+
 # ---------------------------------------------------------------- decoding
 
 def test_timestamp_normaliser(spark):
@@ -237,6 +258,21 @@ def test_malformed_json_keeps_text(spark):
     assert quality.dead_letters(kafka.decode(env, "air_quality")).filter("seq = 2").count() == 1
 
 
+def test_values_are_parsed_once(spark):
+    """A filter on what was decoded does not copy the parser, and no record is lost to it."""
+    from citystream.plans import catalog
+    for name in ("dlq_dirty", "dlq_envelope", "zone_rolling_aqi_dirty"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") - (name == "dlq_envelope") == 1, name
+
+
+def test_empty_values_are_dead_letters(spark):
+    env = spark.createDataFrame([(b"k", v, "t", 0, i, None) for i, v in enumerate([None, b"", b"{}", b"[]", b"null", b"7"])], schemas.KAFKA_ENVELOPE)
+    decoded = kafka.decode(env, "air_quality")
+    assert sorted(r.seq for r in decoded.collect()) == list(range(6))
+    assert sorted(r.seq for r in quality.dead_letters(decoded).collect()) == list(range(6))
+
+
 # ---------------------------------------------------------------- dirty values
 
 def test_times_that_are_no_time(spark):

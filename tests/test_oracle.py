@@ -5,8 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from citystream.plans import catalog
-from conftest import SF_SMALL
-from oracle_util import compare, duck
+from oracle_util import SF_SMALL, compare, duck
 
 QUERIES = catalog.QUERIES
 ORACLE = catalog.ORACLE

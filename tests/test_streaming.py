@@ -9,8 +9,7 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
 
-from conftest import SF_SMALL
-from oracle_util import compare, duck
+from oracle_util import SF_SMALL, compare, duck
 import __spark_entry__ as E
 from citystream.streaming import jobs
 
