@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import exact_dedup, language_id, licenses, packing, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
+from citystream.llm import exact_dedup, fim, language_id, licenses, packing, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,6 +23,9 @@ VECTOR_SCALE, QUERY_EVERY, BEST = 256, 50, 5
 SHINGLE_WORDS = 4
 MOST_BITS = 4
 
+#: Fill-in-middle: markers, seed of the hash, of 100 texts those cut, of 100 cut ones those with the suffix first.
+FIM = fim.Plan("<P>", "<S>", "<M>", 42, 50, 80, fim.WORD)
+
 #: Words of a window of substring dedup.
 WINDOW_WORDS = 13
 
@@ -72,9 +75,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MOST_BITS)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"), FIM)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_exact_top_k, op3_sharding, op4_sentencepiece, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op9_license_scan,
-                         op10_simhash_near_dedup)
+                         op10_simhash_near_dedup, op11_fill_in_middle)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.
