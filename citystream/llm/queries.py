@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import exact_dedup, fim, language_id, licenses, packing, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
+from citystream.llm import curves, exact_dedup, fim, language_id, licenses, packing, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,6 +19,9 @@ SHARDS = 8
 #: Top-k search: scale of the vectors' whole numbers, divisor of query ids, results.
 VECTOR_SCALE, QUERY_EVERY, BEST = 256, 50, 5
 
+#: Nearest neighbours: divisor of query ids, results.
+NEAR_EVERY, NEAREST = 100, 10
+
 #: SimHash: words of a shingle, and bits that linked fingerprints may differ in.
 SHINGLE_WORDS = 4
 MOST_BITS = 4
@@ -79,9 +82,13 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"), FIM)
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.neighbours(table(spark, sf_dir, "embeddings"), NEAR_EVERY, NEAREST)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_exact_top_k, op3_sharding, op4_sentencepiece, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op9_license_scan,
-                         op10_simhash_near_dedup, op11_fill_in_middle)
+                         op10_simhash_near_dedup, op11_fill_in_middle, op12_nearest_neighbours)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.
