@@ -29,8 +29,7 @@ on average); every row is indexed.
 Defined results: vectors that are null, empty, all zero, or hold a null or
 non-finite component take no part, neither do rows without id; vectors meet
 only vectors of the same dimension; rows that repeat id and vector count once; rows
-of one id with other vectors are candidates each, and queries each, but never each
-other's candidates; ties go to the smaller id; fewer candidates than k are all
+of one id with other vectors are rows of their own, candidates and queries; ties go to the smaller id; fewer candidates than k are all
 returned (if the windows reach them: up to a block of classes always); an empty table
 gives an empty result; other columns are ignored. Equal vectors are told by a 64-bit hash."""
 
@@ -280,9 +279,9 @@ def neighbours(vectors: DataFrame, every: int, k: int, id_col: str = "vec_id", v
     merged = found.groupBy("dim", "q", "h").agg(F.min("first").alias("first"), F.min("score").alias("score"))
     near = merged.withColumn("rn", F.row_number().over(Window.partitionBy("dim", "q").orderBy("score", "first"))).filter(F.col("rn") <= k + 1)
     kept = members.withColumn("rn", F.row_number().over(Window.partitionBy("dim", "h").orderBy("id"))).filter(F.col("rn") <= k + 1)
-    listed = near.select("dim", "q", "h", "score").join(kept.select("dim", "h", F.col("id").alias("vec_id")), ["dim", "h"])
+    listed = near.select("dim", "q", "h", "score", (F.col("h") == F.col("q")).alias("same")).join(kept.select("dim", "h", F.col("id").alias("vec_id")), ["dim", "h"])
     best = listed.withColumn("rn", F.row_number().over(Window.partitionBy("dim", "q").orderBy("score", "vec_id"))).filter(F.col("rn") <= k + 1)
     asked = members.filter(F.col("id") % every == 0).select("dim", F.col("h").alias("q"), F.col("id").alias("query_id"))
-    answers = asked.join(best.select("dim", "q", "vec_id", "score"), ["dim", "q"]).filter("vec_id != query_id")
+    answers = asked.join(best.select("dim", "q", "vec_id", "score", "same"), ["dim", "q"]).filter("NOT (same AND vec_id = query_id)")
     order = Window.partitionBy("query_id", "dim", "q").orderBy("score", "vec_id")
     return answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
