@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import curves, exact_dedup, fim, language_id, licenses, packing, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
+from citystream.llm import curves, exact_dedup, fim, language_id, licenses, packing, repair, sentencepiece_codec, sharding, simhash, substring_dedup, token_counts, topk
 from citystream.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -86,9 +86,13 @@ def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.neighbours(table(spark, sf_dir, "embeddings"), NEAR_EVERY, NEAREST)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audits(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_best_fit_packing, op2_exact_top_k, op3_sharding, op4_sentencepiece, op5_token_counts, op6_exact_dedup, op7_language_id, op8_substring_dedup, op9_license_scan,
-                         op10_simhash_near_dedup, op11_fill_in_middle, op12_nearest_neighbours)
+                         op10_simhash_near_dedup, op11_fill_in_middle, op12_nearest_neighbours, op13_conversation_repair)
 }
 
 #: Of every query that SQL can express, the same rows from DuckDB.

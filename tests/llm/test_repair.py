@@ -1,0 +1,166 @@
+"""Conversation repair against a cheapest-path search over single edits."""
+
+import hashlib
+import heapq
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from citystream.llm import queries, repair
+
+SF = "/root/testdata/sf0.01"
+BLANKS = " \t\n\x0b\f\r"
+MOVES = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+
+def brute_audit(kinds):
+    """(cost, audit) of rows (initial, fault), by uniform-cost search over (cost, audit)."""
+    heap, done = [(0, "", 0, "")], set()
+    while heap:
+        cost, audit, i, state = heapq.heappop(heap)
+        if i == len(kinds) and state in ("", "a"):
+            return cost, audit
+        if (i, state) in done:
+            continue
+        done.add((i, state))
+        for new in "ua":
+            if (state, new) in MOVES:
+                heapq.heappush(heap, (cost + 5, audit + "I", i, new))
+        if i < len(kinds):
+            initial, fault = kinds[i]
+            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, state))
+            if fault in ("ok", "truncated"):
+                more = 5 * (fault == "truncated")
+                for new, edit, price in ((initial, "K", 0), ("u", "R", 1), ("a", "R", 1)):
+                    if (state, new) in MOVES:
+                        heapq.heappush(heap, (cost + price + more, audit + edit, i + 1, new))
+
+
+def brute(rows):
+    """The contract, row by row; rows are (conv_id, turn, role, text)."""
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        convs[conv]
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if fate == 1:
+            text = ""
+        elif fate == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        elif fate == 4:
+            role = "user"
+        if fate:
+            convs[conv] += [(turn, role, text)] * (2 if fate == 3 else 1)
+    out = []
+    for conv, own in convs.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(f"{len(r[1])}:{r[1]}{r[2]}".encode()).digest()))
+        seen, kinds, faults = set(), [], {"blank": 0, "duplicate": 0, "truncated": 0, "ok": 0}
+        for _, role, text in own:
+            end = text.rstrip(BLANKS)
+            fault = "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else "ok"
+            seen.add((role, text))
+            faults[fault] += 1
+            kinds.append((role[:1], fault))
+        cost, audit = brute_audit(kinds)
+        size = sum(e != "D" for e in audit)
+        lines, rest = [], iter(own)
+        for e in audit:
+            role = "user" if (len(lines) - size) % 2 == 0 else "assistant"
+            if e == "I":
+                lines.append(f"{role}:")
+                continue
+            _, was, text = next(rest)
+            if e != "D":
+                lines.append(f"{was if e == 'K' else role}:{text}")
+        turns = [t for t, *_ in own if t is not None]
+        illegal = sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in zip(kinds, kinds[1:]))
+        out.append((conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit,
+                    hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_repair_of_the_corpus(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = got(queries.op13_conversation_repair(spark, SF))
+    assert found == brute(rows)
+    assert {c for r in found for c in r[7]} >= set("DKR")
+
+
+def random_rows(seed, convs, most):
+    rnd = random.Random(seed)
+    rows = []
+    for conv in range(convs):
+        for turn in range(rnd.randint(1, most)):
+            role = rnd.choice(["system", "user", "assistant", "tool", "s", "", None, "user", "assistant"])
+            text = rnd.choice(["Yes.", "No", "Why?  \n", "", " \t", None, f"Text {rnd.random()}!", "same.", f"open {rnd.random()}"])
+            rows.append((rnd.choice([conv] * 9 + [None]), rnd.choice([turn, turn, None, turn * 3, -turn]), role, text))
+    return rows + rows[::7]
+
+
+@pytest.mark.parametrize("chunk,rules", [(3, 128), (4096, 0), (4096, 8)])
+def test_repair_of_odd_rows(spark, monkeypatch, chunk, rules):
+    monkeypatch.setattr(repair, "CHUNK", chunk)
+    monkeypatch.setattr(repair, "RULES", rules)
+    monkeypatch.setattr(repair, "ROUND", 4)
+    rows = random_rows(chunk + rules, 60, 12) + [(900, t, "user", f"{t}." if t % 5 else "") for t in range(400)] + [(2 ** 63 - 1, -2 ** 63, "user", "x."), (2 ** 63 - 1, 2 ** 63 - 9, "assistant", "x.")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as c", "2 as t", "'x' as m", "3 as copies", "'y' as audit", "4 as n").repartition(7)
+    assert [r for r in got(repair.audits(df)) if r[0] != 2 ** 63 - 1] == [r for r in brute(rows) if r[0] != 2 ** 63 - 1]
+    assert repair.audits(df.limit(0)).count() == 0
+
+
+def test_parts_multiply_in_any_grouping():
+    """Rules only change the grouping; ropes of rules give what single steps give."""
+    rnd = random.Random(1)
+    kinds = [("sua?"[i], f) for i in range(4) for f in range(4)]
+    names = ("ok", "blank", "duplicate", "truncated")
+    for _ in range(150):
+        sequence = [rnd.choice(kinds) for _ in range(rnd.randint(1, 14))]
+        symbols = "".join(repair.symbol("sua?".index(i), f) for i, f in sequence)
+        rules = []
+        for _ in range(rnd.randint(0, 6)):
+            s = repair.compressed(symbols, tuple(rules))
+            if len(s) < 2:
+                break
+            k = rnd.randrange(len(s) - 1)
+            rules.append(s[k:k + 2])
+        fold = repair.Fold()
+        fold.feed(repair.compressed(symbols, tuple(rules)), repair.parts(tuple(rules)))
+        report = fold.report()
+        assert report[4:] == brute_audit([(i, names[f]) for i, f in sequence])
+        assert report[:3] == tuple(sum(f == k for _, f in sequence) for k in (1, 2, 3))
+        assert report[3] == sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(sequence, sequence[1:]))
+
+
+def test_ropes_compare_as_texts():
+    rnd = random.Random(2)
+
+    def rope(text):
+        if len(text) < 2 or rnd.random() < 0.2:
+            return repair.Rope(text)
+        k = rnd.randint(0, len(text))
+        return rope(text[:k]) + rope(text[k:])
+
+    for _ in range(500):
+        a = "".join(rnd.choice("DK") for _ in range(rnd.randint(0, 12)))
+        b = a[:rnd.randint(0, len(a))] + "".join(rnd.choice("DK") for _ in range(rnd.randint(0, 3)))
+        x, y = rope(a), rope(b)
+        assert (str(x), str(y)) == (a, b) and (x < y) == (a < b) and (y < x) == (b < a)
+
+
+def test_repaired_rows_fit_the_pattern(spark):
+    import re
+    rows = repair.damaged(spark.read.parquet(f"{SF}/conversations.parquet"))
+    fixed = repair.repaired(rows, repair.reports(rows).checkpoint())
+    convs = defaultdict(list)
+    for r in fixed.collect():
+        convs[r["c"]].append((r["place"], r["role"], r["edit"]))
+    for own in convs.values():
+        own.sort()
+        assert [p for p, *_ in own] == list(range(len(own)))
+        assert re.fullmatch("s?(ua)+", "".join(role[:1] for _, role, _ in own))
