@@ -96,34 +96,73 @@ def brute_top(rows, every, k):
     out = []
     for qi, q in rows:
         if qi is not None and qi % every == 0:
-            found = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in rows if i is not None and i != qi and len(v) == len(q))
+            found = sorted((-max(-2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(q, v)))), i) for i, v in rows if i is not None and i != qi and len(v) == len(q))
             out += [(qi, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
     return Counter(out)
 
 
-@pytest.mark.parametrize("block", [16, 4096])
-def test_top_k_of_odd_vectors(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,query_block", [(16, 2), (16, 4096), (4096, 4096)])
+def test_top_k_of_odd_vectors(spark, monkeypatch, block, query_block):
     monkeypatch.setattr(topk, "BLOCK", block)
-    monkeypatch.setattr(topk, "PAGE", 4)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", query_block)
     rng = np.random.default_rng(2)
     whole = [(i, [int(x) for x in rng.integers(-3, 4, 5)]) for i in range(150)]
     whole += [(200 + i, [1, 1, 1, 1, 1]) for i in range(30)] + [(300, [1, 2]), (301, [3, 4]), (350, [2 ** 40, 1, 1, 1, 1]), (None, [1, 1, 1, 1, 1])]
+    whole += [(199, [k, 0, 0, 0, 1]) for k in range(40)] + [(199, [5, 0, 0, 0, 1])] * 5  # one id, many rows
     rows = [(i, [x / 256 + 1e-9 for x in v]) for i, v in whole]
-    bad = [(400, None), (401, []), (402, [1.0, None, 1.0, 1.0, 1.0]), (450, [float("nan")] * 5), (403, [float("inf")] * 5)]
-    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as dim", "'x' as v")
+    bad = [(400, None), (401, []), (402, [1.0, None, 1.0, 1.0, 1.0]), (450, [float("nan")] * 5), (403, [float("inf")] * 5), (500, [1.7e308] * 5)]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as dim", "'x' as v", "3 as vb", "4 as floor")
     got = Counter(map(tuple, topk.top_k(df, 256, 50, 5).collect()))
     assert got == brute_top(whole, 50, 5)
     assert topk.top_k(df.limit(0), 256, 50, 5).count() == 0
 
 
-def test_m_tree_leaves_distances_out():
-    rng = np.random.default_rng(4)
-    x = np.concatenate([rng.normal(c, 0.5, (300, 4)) for c in rng.normal(0, 30, (8, 4))]).round()
-    norms = (x * x).sum(axis=1)
-    tree = topk.MTree(np.column_stack((x, np.sqrt(norms.max() - norms))))
-    scored = []
-    topk.search(tree, np.append(x[0], 0.0), lambda r: scored.extend(r.tolist()) or x[r] @ x[0], np.arange(len(x)), -1, 5, float(x[0] @ x[0] + norms.max()))
-    assert len(scored) < len(x) / 2
+def test_top_k_of_huge_components(spark):
+    """Products that no long holds: the nearest long, ties by id."""
+    whole = [(i, [int(2.0 ** e) * 256, -3 * 256, int(2.0 ** (e // 2)) * 256]) for i, e in enumerate([5, 30, 60, 100, 300, 1000, 40, 60, 3, 70])] + [(50, [-int(2.0 ** 90) * 256, 256, 0])]
+    df = spark.createDataFrame([(i, [float(c // 256) for c in v]) for i, v in whole], "vec_id long, embedding array<double>")
+    assert Counter(map(tuple, topk.top_k(df, 256, 5, 4).collect())) == brute_top(whole, 5, 4)
+
+
+def clusters(seed, many=8, size=300, apart=30):
+    rng = np.random.default_rng(seed)
+    return np.concatenate([rng.normal(c, 0.5, (size, 4)) for c in rng.normal(0, apart, (many, 4))]).round()
+
+
+@pytest.mark.parametrize("page", [4, 64])
+def test_batched_search_equals_all_products(monkeypatch, page):
+    monkeypatch.setattr(topk, "PAGE", page)
+    for x in (clusters(4), np.random.default_rng(1).integers(-2, 3, (500, 6)).astype(float), np.ones((300, 3)), np.zeros((1, 2))):
+        ids = np.arange(len(x)) * 3
+        tree = topk.MTree(x, ids)
+        q, q_ids = x[::25], ids[::25]
+        plain = {int(i): sorted((-int(s), int(j)) for s, j in zip(x @ own, ids) if j != i)[:5] for i, own in zip(q_ids, q)}
+        # a first limit that is reached, and none
+        for floor in (np.full(len(q), -np.inf), np.asarray([-plain[int(i)][-1][0] if plain[int(i)] else -np.inf for i in q_ids])):
+            got = topk.tree_best(tree, q, q_ids, floor, 5)
+            assert {i: [(-s, j) for o, j, s in got if o == i] for i in plain} == plain
+
+
+def test_m_tree_leaves_products_out():
+    x = clusters(4)
+    search = topk.Search(topk.MTree(x, np.arange(len(x))), x[::100], np.arange(len(x))[::100], 5, np.full(len(x[::100]), -np.inf))
+    search.run()
+    assert search.scored < len(x) * len(x[::100]) / 3
+
+
+def test_a_tree_is_built_once_for_each_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 500)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 10)
+    count = spark.sparkContext.accumulator(0)
+    real = topk.built
+
+    def counted(table):
+        count.add(1)
+        return real(table)
+
+    monkeypatch.setattr(topk, "built", counted)
+    assert topk.top_k(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), 256, 50, 5).count() == 200
+    assert count.value == 4
 
 
 def test_sharding_of_the_corpus(spark):
