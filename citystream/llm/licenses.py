@@ -7,12 +7,17 @@ multinomial logistic regression with sparse weights (an L1 step after each
 gradient step) tells the licence families and the class `unknown` apart. It is
 trained on the driver from the templates below, in bounded numbers of altered
 copies, and on a bounded sample of the corpus' own lines as `unknown`. The
-unknown class is calibrated on lines and altered copies that training does not
+unknown class also has altered copies of notices of licences that are no family
+here (OTHERS). It is calibrated on lines and altered copies that training does not
 see: its intercept is raised until at most FALSE_SHARE of the held-out unknown
-lines are taken for a licence.
-
-A prediction counts only where a template of its family confirms it: the share of
-the template's n-grams that the span holds must reach CONFIRM. So in Spark only spans
+lines are taken for a licence, and a family needs a least probability that at most
+FALSE_SHARE of the held-out notices of other licences reach.
+
+A prediction counts only where the span names its family (holds an n-gram that only
+that family's templates have), and a template of its family confirms it: the share of
+the template's n-grams that the span holds must reach CONFIRM. The next CONTEXT words
+count with the span as far as they are known from other licences' notices ("permitted for
+research only"). So in Spark only spans
 are scored that a template confirms, and only texts are cut that hold a key. Keys
 follow from the templates and CONFIRM alone: what holds that share of a template's n-grams
 holds one of its keys, so nothing is lost, however frequent a notice or its words are in
@@ -54,7 +59,33 @@ TEMPLATES = {
     "LGPL": ["This library is licensed under the GNU Lesser General Public License, version 2.1.", "Released under the GNU LGPL v3."],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."],
     "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "BSL": ["Distributed under the Boost Software License, Version 1.0.", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license to use, reproduce, display, distribute, execute, and transmit the Software."],
+    "EPL": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "Licensed under the Eclipse Public License."],
+    "EUPL": ["Licensed under the European Union Public Licence, version 1.2.", "Licensed under the EUPL."],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Released under the ISC License."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
+    "Zlib": ["Released under the Zlib License.", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
 }
+TEMPLATES["Apache"].append("Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You under the Apache License, Version 2.0.")
+
+#: Identifiers of the families in the one-line form of the SPDX list.
+SPDX = {"AGPL": ["AGPL-3.0"], "Apache": ["Apache-2.0"], "BSD": ["BSD-3-Clause"], "BSL": ["BSL-1.0"], "CC-BY": ["CC-BY-4.0"], "CC-BY-NC": ["CC-BY-NC-4.0"], "CC-BY-SA": ["CC-BY-SA-4.0"], "CC0": ["CC0-1.0"],
+        "EPL": ["EPL-2.0"], "EUPL": ["EUPL-1.2"], "GPL": ["GPL-3.0"], "ISC": ["ISC"], "LGPL": ["LGPL-2.1"], "MIT": ["MIT"], "MPL": ["MPL-2.0"], "Unlicense": ["Unlicense"], "Zlib": ["Zlib"]}
+for _family, _names in SPDX.items():
+    TEMPLATES[_family] += [f"SPDX-License-Identifier: {name}" for name in _names]
+
+#: Customary notices of licences that are no family here. They are `unknown`.
+OTHERS = [
+    "Released under the Artistic License 2.0.", "Licensed under the Open Software License version 3.0.", "Released under the Open Software License.", "Licensed under the Academic Free License version 3.0.",
+    "This file is licensed under the Microsoft Public License.", "Released under the Microsoft Reciprocal License.", "Licensed under the Common Development and Distribution License.",
+    "Released under the PostgreSQL License.", "This Font Software is licensed under the SIL Open Font License, Version 1.1.", "Licensed under the Python Software Foundation License Version 2.",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted for non-commercial research only.", "Redistribution and use are permitted for academic and non-commercial purposes only.",
+    "Use of this source code is governed by a proprietary license.", "Use of this source code is governed by a commercial license agreement.", "Licensed under the Business Source License 1.1.",
+    "Licensed under the Server Side Public License, version 1.", "Licensed under the Elastic License 2.0.", "Released under the WTFPL.", "Released under the terms of the Beerware license.",
+    "Licensed under the terms of the commercial license agreement.", "This software is released under a proprietary license. All rights reserved.", "SPDX-License-Identifier: Proprietary",
+    "This work is licensed under the Open Government Licence, version 3.0.", "Licensed under the Open Data Commons Open Database License.", "Released under the Ruby License.", "Licensed under the PHP License, version 3.01.",
+    "Permission to copy this software is granted for evaluation only.", "This program is licensed under the Aladdin Free Public License.", "Licensed under the Sleepycat License.", "This library is licensed under the Qt Commercial License.",
+]
 
 GRAMS = (1, 2, 3)
 #: Bounds of training: altered copies of each template, sampled lines of the corpus.
@@ -64,6 +95,10 @@ EPOCHS = 60
 L1 = 2e-4
 FALSE_SHARE = 0.001
 CONFIRM = 0.5
+#: Least probability of a family, whatever calibration says.
+LEAST = 0.5
+#: Words behind a span that may tell that it is of another licence after all.
+CONTEXT = 6
 #: A notice's span has at most so many times its template's words.
 WIDEST = 2
 #: Words at which the spans of one row of work begin.
@@ -95,6 +130,15 @@ class Classifier:
     weights: dict[str, tuple[float, ...]]  # of each n-gram, above those of unknown
     intercepts: tuple[float, ...]
     seen: dict[str, int]  # sampled lines that hold a word of the templates
+    least: float = LEAST  # probability that a family needs
+
+
+def naming(templates: dict[str, list[str]], others: list[str]) -> dict[str, str]:
+    """N-grams that occur in one family's templates and in no other's, nor in other licences'
+    notices, with that family."""
+    held = {f: set().union(*(grams_of(words_of(t)) for t in texts)) for f, texts in templates.items()}
+    strange = set().union(*(grams_of(words_of(t)) for t in others)) if others else set()
+    return {g: f for f, grams in held.items() for g in grams - strange if sum(g in h for h in held.values()) == 1}
 
 
 def needed(text: str) -> int:
@@ -139,10 +183,10 @@ def holds(text: str, known: list[set[str]]) -> bool:
     return any(len(own & t) >= CONFIRM * len(t) for t in known)
 
 
-def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) -> Classifier:
+def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11, others: list[str] = OTHERS) -> Classifier:
     rng = np.random.default_rng(seed)
     known = [grams_of(words_of(t)) for texts in templates.values() for t in texts]
-    vocabulary = sorted(set().union(*known))
+    vocabulary = sorted(set().union(*known, *(grams_of(words_of(t)) for t in others)))
     seen = dict(Counter(w for line in lines if not holds(line, known) for w in set(words_of(line)).intersection(vocabulary)))
     column = {g: i for i, g in enumerate(vocabulary)}
     families = (*sorted(templates), UNKNOWN)
@@ -162,6 +206,16 @@ def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) ->
         if not holds(line, known):
             examples.append((grams_of(words_of(line)), len(families) - 1))
     own_lines = slice(strange, len(examples))
+    # notices of other licences, as altered as those of the families
+    foreign = len(examples)
+    for text in others:
+        words = words_of(text)
+        for _ in range(COPIES):
+            kept = [w for w in words if rng.random() > 0.08] or words
+            around = words_of(lines[int(rng.integers(len(lines)))])[:8] if lines else []
+            cut = int(rng.integers(len(around) + 1))
+            examples.append((grams_of(around[:cut] + kept + around[cut:]), len(families) - 1))
+    foreign = slice(foreign, len(examples))
     # single words of licences, out of place, are unknown as well
     for word in sorted({w for texts in templates.values() for t in texts for w in words_of(t)}):
         examples.append((grams_of((words_of(lines[int(rng.integers(len(lines)))])[:8] if lines else []) + [word]), len(families) - 1))
@@ -191,8 +245,20 @@ def train(lines: list[str], templates: dict[str, list[str]], seed: int = 11) ->
     over = (x[own_lines][held[own_lines]] @ margin + base).max(axis=1, initial=-np.inf)
     most = float(np.quantile(over, 1 - FALSE_SHARE)) if len(over) else 0.0
     base = base - max(0.0, most, float(base.max()) + 1e-3)
+    # the least probability: held-out notices of other licences that name a family and hold enough
+    # of a template of it would count, so nearly all of them must stay below it
+    names = naming(templates, others)
+    scores = x @ margin + base
+    odds = np.exp(scores - np.maximum(scores.max(axis=1), 0)[:, None])
+    share = odds / (odds.sum(axis=1) + np.exp(-np.maximum(scores.max(axis=1), 0)))[:, None]
+    taken = []
+    for i in [*np.flatnonzero(held[foreign]) + foreign.start, *np.flatnonzero(held[own_lines]) + own_lines.start]:
+        best, grams = families[int(scores[i].argmax())], examples[i][0]
+        enough = any(len(grams & grams_of(words_of(t))) >= needed(t) for t in templates[best])
+        taken.append(float(share[i].max()) if enough and any(names.get(g) == best for g in grams) else 0.0)
+    least = max(LEAST, float(np.quantile(taken, 1 - FALSE_SHARE)) if taken else 0.0)
     used = np.flatnonzero(np.abs(margin).max(axis=1) > 1e-4)
-    return Classifier(families, {vocabulary[i]: tuple(float(round(v, 5)) for v in margin[i]) for i in used}, tuple(float(v) for v in base), seen)
+    return Classifier(families, {vocabulary[i]: tuple(float(round(v, 5)) for v in margin[i]) for i in used}, tuple(float(v) for v in base), seen, least)
 
 
 def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -220,7 +286,7 @@ def chunks(docs: DataFrame, rare: list[str], templates: dict[str, list[str]], id
 
 
 def spans(runs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
-    """doc_id, row, line, at, width, said, family, template, held, likeness: every span that holds
+    """doc_id, row, line, at, width, said, after, family, template, held, likeness: every span that holds
     CONFIRM of a template and ends with the first hold of one of its n-grams."""
     table = _table(runs.sparkSession, [
         (f, t, sorted(grams_of(words_of(t))), WIDEST * len(words_of(t)), needed(t))
@@ -259,7 +325,11 @@ def spans(runs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
     more = F.coalesce(F.get("start.widths", F.col("held")), F.lit(0)) != F.col("width")
     own = own.filter((F.col("held") >= F.col("need")) & more)
     i = F.col("start.i")
-    return own.select("doc_id", "row", F.element_at("lines", i).alias("line"), (F.col("base") + i).alias("at"), "width", F.array_join(F.slice("w", i, F.col("width")), " ").alias("said"), "family", "template", "held", (F.col("held") / F.col("n_parts")).alias("likeness"))
+    # the paragraph's next words
+    behind = F.slice("w", i + F.col("width"), CONTEXT)
+    stop = F.array_position(behind, "").cast("int")
+    after = F.array_join(F.when(stop > 0, F.slice(behind, F.lit(1), F.greatest(stop - 1, F.lit(0)))).otherwise(behind), " ")
+    return own.select("doc_id", "row", F.element_at("lines", i).alias("line"), (F.col("base") + i).alias("at"), "width", F.array_join(F.slice("w", i, F.col("width")), " ").alias("said"), after.alias("after"), "family", "template", "held", (F.col("held") / F.col("n_parts")).alias("likeness"))
 
 
 def found(docs: DataFrame, model: Classifier, templates: dict[str, list[str]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,15 +338,20 @@ def found(docs: DataFrame, model: Classifier, templates: dict[str, list[str]], i
     spark = docs.sparkSession
     names = model.families[:-1]
     near = spans(chunks(docs, keys(templates, model.seen), templates, id_col, text_col), templates).checkpoint()
-    grams = near.select("said").distinct().withColumn("gram", F.explode(word_grams(F.col("said"))))
-    weights = _table(spark, [(g, list(w)) for g, w in sorted(model.weights.items())], "gram string, w array<double>")
+    # the words behind a span count as far as they are of other licences' notices
+    grams = near.select("said", "after").distinct().withColumn("gram", F.explode(word_grams(F.concat_ws(" ", "said", "after"))))
+    own = set().union(*(grams_of(words_of(t)) for texts in templates.values() for t in texts))
+    named = naming(templates, OTHERS)
+    weights = _table(spark, [(g, list(model.weights.get(g, [0.0] * len(names))), named.get(g, ""), g in own) for g in sorted({*model.weights, *named})], "gram string, w array<double>, names string, own boolean")
+    inside = F.concat(F.lit(" "), "said", F.lit(" ")).contains(F.concat(F.lit(" "), "gram", F.lit(" ")))
     sums = [F.sum(F.col("w")[k]).alias(f"s{k}") for k in range(len(names))]
-    scored = grams.join(F.broadcast(weights), "gram").groupBy("said").agg(*sums)
+    scored = grams.join(F.broadcast(weights), "gram").filter(inside | ~F.col("own")).groupBy("said", "after").agg(*sums, F.collect_set(F.when(inside, F.col("names"))).alias("named"))
     scores = F.array(*[F.struct((F.col(f"s{k}") + F.lit(model.intercepts[k])).alias("score"), F.lit(-k).alias("order"), F.lit(n).alias("family")) for k, n in enumerate(names)])
-    best = scored.withColumn("scores", scores).withColumn("best", F.array_max("scores")).filter(F.col("best.score") > 0)
+    best = scored.withColumn("scores", scores).withColumn("best", F.array_max("scores")).filter((F.col("best.score") > 0) & F.array_contains("named", F.col("best.family")))
     # softmax with unknown at score 0
     odds = F.aggregate(F.transform("scores", lambda s: F.exp(s["score"] - F.col("best.score"))), F.lit(0.0), lambda a, v: a + v) + F.exp(-F.col("best.score"))
-    met = near.join(best.select("said", F.col("best.family").alias("family"), F.round(F.lit(1.0) / odds, 6).alias("probability")), ["said", "family"])
+    sure = best.select("said", "after", F.col("best.family").alias("family"), F.round(F.lit(1.0) / odds, 6).alias("probability")).filter(F.col("probability") >= model.least)
+    met = near.join(sure, ["said", "after", "family"])
     ranked = met.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct((-F.col("held")).alias("order"), "width", "at", "family", "template", "line", "probability", "likeness"))).alias("ranked"))
 
     def apart(chosen: Column, x: Column) -> Column:

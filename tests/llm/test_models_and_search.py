@@ -1,5 +1,7 @@
 """Language ID and licences by held-out accuracy, top-k and sharding by brute force, the pipeline."""
 
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -92,6 +94,77 @@ def test_licences_of_odd_rows(spark, docs, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_other_licences_are_unknown(spark):
+    model = licenses.fitted(spark.read.parquet(f"{SF}/documents.parquet"))
+    said = {"Released under the Zlib License.": "Zlib", "Released under the ISC License.": "ISC", "Licensed under the Eclipse Public License": "EPL", "European Union Public Licence, version 1.2": "EUPL",
+            "This file is licensed under the Microsoft Public License": "", "Released under the Artistic License.": "", "Licensed under the Open Software License": "", "Released under the Foo License.": "",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted for non-commercial research only": "", "Redistribution is permitted for non-commercial research only": "",
+            "Licensed under the Mulan Permissive Software License, Version 2": "", "released under the terms of the Nokia Open Source License": "", "You may use this under the W3C Software License": "",
+            "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "", "SPDX-License-Identifier: LicenseRef-Own": "",
+            "SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache", "SPDX-License-Identifier: GPL-2.0-or-later": "GPL", "Distributed under the Boost Software License, Version 1.0.": "BSL",
+            "Licensed to the Apache Software Foundation (ASF) under one\n or more contributor license agreements.  See the NOTICE file\n distributed with this work for additional information\n regarding copyright ownership.": "Apache",
+            "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish": "Unlicense",
+            "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "ISC"}
+    rows = list(enumerate(said))
+    got = {r["doc_id"]: r["licences"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert {text: got[i] for i, text in rows} == said
+
+
+def slow_scan(text, model, templates):
+    """All spans of all paragraphs, scored one by one."""
+    words = []
+    for n, line in enumerate(re.split(r"\r\n|[\n\x0b\f\r\x85\u2028\u2029]", text)):
+        words += [(w, n) for w in (licenses.words_of(line) if any(c.isalnum() for c in line) else [""])]
+    known = [(f, t, licenses.grams_of(licenses.words_of(t)), licenses.WIDEST * len(licenses.words_of(t))) for f in templates for t in templates[f]]
+    names, own = licenses.naming(templates, licenses.OTHERS), set().union(*(g for *_, g, _ in known))
+    rated, found = {}, []
+    for i in range(len(words)):
+        for width in range(1, len(words) - i + 1):
+            run = [w for w, _ in words[i:i + width]]
+            if run[-1] == "":
+                break
+            grams, shorter = licenses.grams_of(run), licenses.grams_of(run[:-1])
+            for family, template, parts, widest in known:
+                held = len(grams & parts)
+                if width <= widest and run[0] in parts and held >= licenses.needed(template) and held > len(shorter & parts):
+                    behind = [w for w, _ in words[i + width:i + width + licenses.CONTEXT]]
+                    behind = behind[:behind.index("")] if "" in behind else behind
+                    key = (tuple(run), tuple(behind))
+                    if key not in rated:
+                        used = grams | {g for g in licenses.grams_of(run + behind) if g not in own}
+                        scores = np.asarray(model.intercepts) + sum(np.asarray(model.weights[g]) for g in sorted(used) if g in model.weights)
+                        best = int(scores.argmax())
+                        top = max(scores[best], 0)
+                        rated[key] = model.families[best], scores[best], float(np.exp(scores[best] - top) / (np.exp(scores - top).sum() + np.exp(-top)))
+                    best, score, share = rated[key]
+                    if best == family and score > 0 and share >= model.least and any(names.get(g) == family for g in grams):
+                        found.append((-held, width, i, family, template, words[i][1]))
+    chosen = []
+    for f in sorted(found):
+        if all(f[2] + f[1] <= c[2] or c[2] + c[1] <= f[2] for c in chosen):
+            chosen.append(f)
+    return ",".join(sorted({c[3] for c in chosen})), len({c[5] for c in chosen})
+
+
+def test_scan_equals_the_slow_scorer(spark):
+    rnd = random.Random(3)
+    model = licenses.fitted(spark.read.parquet(f"{SF}/documents.parquet"))
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts] + licenses.OTHERS
+    rows = []
+    for i in range(40):
+        parts = []
+        for _ in range(rnd.randint(1, 3)):
+            words = rnd.choice(notices).split(" ")
+            words = [w for w in words if rnd.random() > 0.1]
+            for _ in range(rnd.randint(0, 2)):
+                words.insert(rnd.randrange(len(words) + 1), rnd.choice(["\n", "for research only", "license", "word", "\n\n", "MIT"]))
+            parts.append(" ".join(words))
+        rows.append((i, rnd.choice([" ", "\n", "\n\n", " plain words between "]).join(parts)))
+    got = {r["doc_id"]: (r["licences"], r["n_lines"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {i: slow_scan(t, model, licenses.TEMPLATES) for i, t in rows}
+    assert sum(bool(f) for f, _ in got.values()) > 10
+
+
 def brute_top(rows, every, k):
     out = []
     for qi, q in rows:
