@@ -13,13 +13,17 @@ into maximal intervals.
 Every window counts, so what is shuffled is kept small: a task sorts the hashes
 of a batch, keeps one row per distinct hash with its least document (a very
 common window leaves one row per batch; its other documents' windows are known
-to repeat at once), and sends each bucket of the hash space its hashes as
-differences, packed in one binary. Answers go back as (document, hashes), and
-meet the text in one join on the id.
-
-Defined results: a null text has no words; a null id counts as the largest, so
-such rows are never the first to hold a window, and rows of equal id never
-remove each other's windows; texts of fewer words than a window keep all;
+to repeat at once), and sends each range of the hash space its hashes as
+differences, packed in one binary. There are at most RANGES ranges, however large the
+corpus, so a batch's cells stay large. Behind the exchange a range is split into
+buckets that fit in memory, which Spark sorts (and spills) within the task, and the
+buckets are worked off one after the other. Answers go back as (document,
+hashes), and meet the text in one join on the id.
+
+Defined results: a null text has no words; a row without id counts as an id of 2^62 or
+more that follows from its text, so it is behind all usual ids and rows without id
+are many documents; rows of equal id never remove each other's windows (all rows
+of one id get one list of windows, so an id should not stand for very many rows); texts of fewer words than a window keep all;
 repeated rows get equal results; an empty table gives an empty result; other
 columns are ignored by `removals` and carried by `deduplicated`. Very long
 texts are hashed whole."""
@@ -43,13 +47,16 @@ from citystream.llm import arrowtext as A
 BUCKET_BYTES = 8 << 20
 #: Windows whose hashes a task sorts at once.
 BATCH_WINDOWS = 1 << 20
+#: Most ranges of the hash space that a batch is dealt over.
+RANGES = 4096
 
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)  # odd multipliers of the two polynomials
-LAST = 2 ** 63 - 1  # rank of a row without id
+NO_ID = 2 ** 62  # least rank of a row without id
 
 
 @dataclass(frozen=True)
 class Scale:
+    ranges: int
     buckets: int
     extra: int  # bytes of the second hash that count
 
@@ -57,12 +64,18 @@ class Scale:
 def scale(docs: DataFrame, text_col: str) -> Scale:
     """Buckets and hash width for a corpus of this many bytes."""
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    bits = 2 * math.log2(max(total / 4, 2)) + 8
-    return Scale(max(16, -(-total // BUCKET_BYTES)), min(8, max(0, math.ceil((bits - 64) / 8))))
+    return scale_of(total)
+
 
+def scale_of(total: int) -> Scale:
+    bits, buckets = 2 * math.log2(max(total / 4, 2)) + 8, max(16, -(-total // BUCKET_BYTES))
+    ranges = min(RANGES, buckets)
+    # each range is a whole number of buckets
+    return Scale(ranges, -(-buckets // ranges) * ranges, min(8, max(0, math.ceil((bits - 64) / 8))))
 
-def rank(doc_id: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(LAST))
+
+def rank(doc_id: Column, text: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.xxhash64(text).bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID))
 
 
 def window_hashes(words: pa.Array, offsets: np.ndarray, width: int, extra: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,14 +113,18 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").reshape(n).astype(np.uint64)
 
 
-#: A cell: n hashes of one batch that fall in one bucket, each with the least rank
+#: A cell: n hashes of one batch that fall in one range or bucket, each with the least rank
 #: that holds it (known = false), or windows known to repeat, with their ranks.
 CELL = "bucket long, known boolean, n long, hash binary, second binary, base long, rank binary"
 CELL_TYPES = [pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
 
 
+def _cell_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), CELL_TYPES)], names=["bucket", "known", "n", "hash", "second", "base", "rank"])
+
+
 def cells(hashes: np.ndarray, second: np.ndarray, ranks: np.ndarray, buckets: np.ndarray, known: bool) -> list[tuple]:
-    """Cells of hashes that are sorted by (bucket, hash)."""
+    """Cells of hashes that are sorted by (bucket, hash); bucket may be a range."""
     cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else []
     out = []
     for a, b in zip(cuts, np.append(cuts[1:], len(buckets))):
@@ -133,7 +150,7 @@ def batch_cells(hashes: np.ndarray, second: np.ndarray, ranks: np.ndarray, many:
     home = bucket_of((ranks[again].astype(np.uint64) + np.uint64(1)) * np.uint64(BASES[0]), many)
     order = np.lexsort((hashes[again], home))
     rows += cells(hashes[again][order], second[again][order], ranks[again][order], home[order], True)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), CELL_TYPES)], names=["bucket", "known", "n", "hash", "second", "base", "rank"])
+    return _cell_batch(rows)
 
 
 def repeated(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str) -> DataFrame:
@@ -147,28 +164,78 @@ def repeated(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str)
                 held.append((h, second, np.asarray(A.column(part, "rank"))[text]))
                 n += len(h)
                 if n >= BATCH_WINDOWS:
-                    yield batch_cells(*(np.concatenate(x) for x in zip(*held)), at.buckets)
+                    yield batch_cells(*(np.concatenate(x) for x in zip(*held)), at.ranges)
                     held, n = [], 0
         if n:
-            yield batch_cells(*(np.concatenate(x) for x in zip(*held)), at.buckets)
-
-    def met(table: pa.Table) -> pa.Table:
-        own, known = [], []
-        for row in table.to_batches():
-            for is_known, n, h, second, base, r in zip(*(A.column(row, c).to_pylist() for c in ("known", "n", "hash", "second", "base", "rank"))):
-                (known if is_known else own).append((np.cumsum(unpacked(h, n), dtype=np.uint64), unpacked(second, n).astype(np.uint64 if at.extra else np.uint8), unpacked(r, n).astype(np.int64) + base))
-        if own:
-            h, second, r = (np.concatenate(x) for x in zip(*own))
-            order = np.lexsort((r, second, h)) if second.any() else np.lexsort((r, h))
-            h, second, r = h[order], second[order], r[order]
-            new = np.append(True, (h[1:] != h[:-1]) | (second[1:] != second[:-1]))
-            again = r > np.repeat(r[new], np.diff(np.append(np.flatnonzero(new), len(r))))
-            known.append((h[again], second[again], r[again]))
-        h, second, r = (np.concatenate(x) for x in zip(*known))
-        return pa.table({"rank": pa.array(r, pa.int64()), "hash": pa.array(h.view(np.int64), pa.int64()), "second": pa.array(second.astype(np.uint64).view(np.int64), pa.int64())})
-
-    own = docs.select(rank(F.col(id_col)).alias("rank"), F.col(text_col).alias("text"))
-    return own.mapInArrow(hashed, CELL).groupBy("bucket").applyInArrow(met, "rank long, hash long, second long")
+            yield batch_cells(*(np.concatenate(x) for x in zip(*held)), at.ranges)
+
+    own = docs.select(rank(F.col(id_col), F.col(text_col)).alias("rank"), F.col(text_col).alias("text"))
+    laid = own.mapInArrow(hashed, CELL).repartition("bucket").sortWithinPartitions("bucket")
+    if at.buckets > at.ranges:
+        laid = laid.mapInArrow(lambda batches: split(batches, at), CELL).sortWithinPartitions("bucket")
+    return laid.mapInArrow(lambda batches: met(batches, at), "rank long, hash long, second long")
+
+
+def opened(batches, at: Scale):
+    """(bucket, known, hashes, second hashes, ranks) of each cell."""
+    for batch in batches:
+        for bucket, known, n, h, second, base, r in zip(*(A.column(batch, c).to_pylist() for c in ("bucket", "known", "n", "hash", "second", "base", "rank"))):
+            yield (bucket, known, np.cumsum(unpacked(h, n), dtype=np.uint64), unpacked(second, n).astype(np.uint64 if at.extra else np.uint8), unpacked(r, n).astype(np.int64) + base)
+
+
+def split(batches, at: Scale):
+    """Cells of ranges, sorted by range, as cells of buckets; several of a range at once."""
+    held, n, now = [], 0, None
+
+    def dealt(known: bool) -> list[tuple]:
+        some = [c[2:] for c in held if c[1] == known]
+        if not some:
+            return []
+        h, second, r = (np.concatenate(x) for x in zip(*some))
+        order = np.argsort(h, kind="stable")
+        # known windows needn't meet others: they stay with the range's first bucket
+        buckets = bucket_of(h[order], at.buckets) if not known else np.full(len(h), now * (at.buckets // at.ranges))
+        return cells(h[order], second[order], r[order], buckets, known)
+
+    def flush() -> pa.RecordBatch:
+        return _cell_batch(dealt(False) + dealt(True))
+
+    for cell in opened(batches, at):
+        if held and (cell[0] != now or n >= BATCH_WINDOWS):
+            yield flush()
+            held, n = [], 0
+        now = cell[0]
+        held.append(cell)
+        n += len(cell[2])
+    if held:
+        yield flush()
+
+
+def met(batches, at: Scale):
+    """Windows of cells, sorted by bucket, that also start in a document of smaller rank."""
+    def table(h: np.ndarray, second: np.ndarray, r: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(h.view(np.int64), pa.int64()), pa.array(second.astype(np.uint64).view(np.int64), pa.int64())], names=["rank", "hash", "second"])
+
+    def again(own: list[tuple]) -> pa.RecordBatch:
+        h, second, r = (np.concatenate(x) for x in zip(*own))
+        order = np.lexsort((r, second, h)) if second.any() else np.lexsort((r, h))
+        h, second, r = h[order], second[order], r[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (second[1:] != second[:-1]))
+        later = r > np.repeat(r[new], np.diff(np.append(np.flatnonzero(new), len(r))))
+        return table(h[later], second[later], r[later])
+
+    held, now = [], None
+    for bucket, known, *windows in opened(batches, at):
+        if bucket != now and held:
+            yield again(held)
+            held = []
+        now = bucket
+        if known:
+            yield table(*windows)
+        else:
+            held.append(windows)
+    if held:
+        yield again(held)
 
 
 def covered(words: pa.Array, offsets: np.ndarray, found: pa.ListArray, width: int, extra: int) -> np.ndarray:
@@ -195,8 +262,9 @@ def covered(words: pa.Array, offsets: np.ndarray, found: pa.ListArray, width: in
 
 def answered(docs: DataFrame, width: int, at: Scale, id_col: str, text_col: str, name: str) -> DataFrame:
     """docs with the column `name`: the hashes found for each row, or null."""
-    found = repeated(docs, width, at, id_col, text_col).groupBy("rank").agg(F.collect_list(F.struct("hash", "second")).alias("hashes"))
-    rows = docs.select(F.struct("*").alias("row"), rank(F.col(id_col)).alias("rank"))
+    # a set: repeated rows without id share a rank and their windows
+    found = repeated(docs, width, at, id_col, text_col).groupBy("rank").agg(F.collect_set(F.struct("hash", "second")).alias("hashes"))
+    rows = docs.select(F.struct("*").alias("row"), rank(F.col(id_col), F.col(text_col)).alias("rank"))
     return rows.join(found, "rank", "left").select("row.*", F.col("hashes").alias(name))
 
 

@@ -1,6 +1,7 @@
 """Exact, near and substring dedup against brute force and the reference SQL."""
 
 import hashlib
+import random
 import re
 import sys
 from collections import defaultdict
@@ -10,6 +11,7 @@ import pytest
 import xxhash
 from edge_docs import ROWS
 from oracle_util import compare, duck
+from pyspark.sql import functions as F
 
 from citystream.llm import components, exact_dedup, queries, simhash, substring_dedup
 
@@ -163,12 +165,19 @@ def brute_removal(rows, width):
     return out
 
 
-@pytest.mark.parametrize("extra", [None, 2, 8])
-def test_substring_dedup_of_odd_rows(docs, none, monkeypatch, extra):
-    if extra is not None:
-        monkeypatch.setattr(substring_dedup, "scale", lambda *_: substring_dedup.Scale(7, extra))
-    monkeypatch.setattr(substring_dedup, "BATCH_WINDOWS", 20)
-    expected = brute_removal([(2 ** 63 - 1 if i is None else i, t) for i, t, _ in ROWS], 13)
+def texts_rank(spark, texts):
+    """Rank of rows without id, by their text."""
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", substring_dedup.rank(F.lit(None), F.col("text")).alias("r"))
+    return {r["text"]: r["r"] for r in rows.collect()}
+
+
+@pytest.mark.parametrize("scale", [None, (7, 7, 2), (3, 21, 8), (4, 64, 0)])
+def test_substring_dedup_of_odd_rows(spark, docs, none, monkeypatch, scale):
+    if scale is not None:
+        monkeypatch.setattr(substring_dedup, "scale", lambda *_: substring_dedup.Scale(*scale))
+    without = texts_rank(spark, [t for i, t, _ in ROWS if i is None])
+    assert min(without.values()) >= substring_dedup.NO_ID
+    expected = brute_removal([(without[t] if i is None else i, t) for i, t, _ in ROWS], 13)
     assert any(n for _, n, _ in expected)
     got = sorted(map(str, substring_dedup.removals(docs, 13).collect()))
     assert got == sorted(f"Row(doc_id={i}, n_words={n}, n_removed={r}, kept_sha256='{hashlib.sha256(k.encode()).hexdigest()}')" for (i, _, _), (n, r, k) in zip(ROWS, expected))
@@ -180,6 +189,42 @@ def test_substring_dedup_of_odd_rows(docs, none, monkeypatch, extra):
     assert substring_dedup.removals(none, 13).count() == 0 and substring_dedup.deduplicated(none, 13).count() == 0
 
 
+def test_substring_dedup_of_many_rows_without_id(spark):
+    """A third of the rows has no id, and another third of them one text: no list holds other rows' windows."""
+    rnd = random.Random(4)
+    passages = [" ".join(f"{c}{rnd.randint(0, 99)}" for _ in range(15)) for c in "abcdef"]
+    same = "x " + passages[0] + " y " + passages[1]
+    texts = [same if i % 9 == 0 else f"w{i} {rnd.choice(passages)} {i} {rnd.choice(passages)} end{i}" for i in range(300)]
+    rows = [(None if i % 3 == 0 else i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    without = texts_rank(spark, {t for i, t in rows if i is None})
+    expected = brute_removal([(without[t] if i is None else i, t) for i, t in rows], 13)
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.removals(df, 13).collect())
+    assert got == sorted((str(i), n, r, hashlib.sha256(k.encode()).hexdigest()) for (i, _), (n, r, k) in zip(rows, expected))
+    lists = substring_dedup.answered(df, 13, substring_dedup.scale(df, "text"), "doc_id", "text", "found").selectExpr("max(size(found)) as n").first()["n"]
+    assert lists <= 2 * 15
+
+
+@pytest.mark.parametrize("corpus,most", [(10 ** 9, 9), (10 ** 12, 12), (8 * 10 ** 12, 12), (10 ** 14, 14)])
+def test_bytes_of_a_window_at_any_size(corpus, most):
+    """Cells of one full batch (about a thousand documents) of a corpus of so many bytes; 8 * 10 ** 12 is a
+    million buckets. What still grows is the second hash, by a byte for each factor of sixteen."""
+    rng = np.random.default_rng(1)
+    at = substring_dedup.scale_of(corpus)
+    assert at.ranges <= substring_dedup.RANGES and at.buckets % at.ranges == 0 and corpus / at.buckets <= substring_dedup.BUCKET_BYTES
+    n = substring_dedup.BATCH_WINDOWS
+    second = rng.integers(0, 1 << 8 * at.extra, n, np.uint64) if at.extra else np.zeros(n, np.uint8)
+    batch = substring_dedup.batch_cells(rng.integers(0, 2 ** 64 - 1, n, np.uint64), second, np.repeat(10 ** 9 + np.arange(n // 1024), 1024), at.ranges)
+    size = sum(len(x) for c in ("hash", "second", "rank") for x in batch.column(batch.schema.get_field_index(c)).to_pylist())
+    assert size / n < most
+    # behind the exchange: the buckets of one range hold what the range held, and none of another
+    one = batch.slice(5, 1)
+    parts = list(substring_dedup.split([one], at))
+    opened = list(substring_dedup.opened(parts, at))
+    before = next(substring_dedup.opened([one], at))
+    assert sum(len(c[2]) for c in opened) == len(before[2]) and {c[0] * at.ranges // at.buckets for c in opened} == {before[0]}
+
+
 def test_packed_numbers():
     n = np.asarray([0, 1, 2 ** 64 - 1, 77, 2 ** 40], np.uint64)
     assert (substring_dedup.unpacked(substring_dedup.packed(n), len(n)) == n).all()
