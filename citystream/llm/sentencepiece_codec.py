@@ -8,11 +8,12 @@ the pieces' scores), byte fallback, and the decoder.
 If no piece holds the space marker after another character, no piece can cross
 the place before a run of spaces. A text is then a sequence of chunks (a run of
 spaces and what follows), equal chunks have equal ids, and only chunks that a
-task has not met go to the tokenizer, in one multithreaded batch call. Each of
-them is encoded by the SentencePiece library too: that is the parity check, and
-it covers everything that is encoded. Where the two differ the library's ids
-are taken and counted. Models that can't be cut so are encoded and compared
-text by text.
+task has not met go to the tokenizer, in one multithreaded batch call, and their ids
+to its decoder, in another. Models that can't be cut so are encoded and decoded text by text.
+
+Ids and texts are the rebuilt tokenizer's alone. With `parity` the SentencePiece
+library encodes the same chunks: `differs` counts those of a text for which it has other
+ids, and changes nothing; without, that library isn't needed.
 
 Defined results: a null text counts as empty and has no ids; ids that are null
 decode to the empty text; repeated rows get equal results; an empty table gives
@@ -135,27 +136,42 @@ def rebuilt(model: Model):
     return out
 
 
+@dataclass(frozen=True)
+class Encoded:
+    ids: np.ndarray
+    offsets: np.ndarray  # of the n texts' ids, n + 1
+    differs: np.ndarray  # chunks of each text with other ids in the SentencePiece library
+    texts: pa.Array  # what the ids decode to
+
+
 class Codec:
-    def __init__(self, path: str, threads: int = 2):
-        import sentencepiece
+    def __init__(self, path: str, threads: int = 2, parity: bool = True):
+        self.model, self.threads, self.library = parse(path), threads, None
+        if parity:
+            import sentencepiece
 
-        self.model, self.threads = parse(path), threads
-        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.tokenizer = rebuilt(self.model)
         m = self.model
         self.chunked = (m.dummy_prefix and not (m.charsmap or m.remove_extra or m.suffix) and all(kind != USER and MARK not in p.lstrip(MARK) for p, _, kind in m.pieces))
-        self.mark = [self.library.piece_to_id(MARK)]
-        self.seen: dict[str, tuple[tuple[int, ...], bool]] = {}
-        spelled = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
-        self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
-        self.size = np.fromiter(map(len, spelled), np.int64, len(spelled))
-        self.place = np.cumsum(self.size) - self.size
-
-    def compared(self, texts: list[str]) -> list[tuple[tuple[int, ...], bool]]:
-        """Ids of each text, and whether the rebuilt tokenizer had to be corrected."""
-        mine = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        theirs = self.library.encode(texts, num_threads=self.threads)
-        return [(tuple(b), a.ids != b) for a, b in zip(mine, theirs)]
+        self.mark = next((i for i, (p, _, _) in enumerate(m.pieces) if p == MARK), m.unknown)
+        self.seen: dict[str, tuple[list[int], bool, bytes]] = {}
+
+    def both_ways(self, texts: list[str]) -> list[tuple[list[int], bool, bytes]]:
+        """Of each text: ids, whether the library has others, and what the ids decode to. An empty
+        chunk is the space marker alone."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.chunked:
+            ids = [i if t else [self.mark] for t, i in zip(texts, ids)]
+            back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        else:
+            back = self.decoded(ids)
+        theirs = self.library.encode([t for t in texts if t], num_threads=self.threads) if self.library else [i for t, i in zip(texts, ids) if t]
+        differs = iter(theirs)
+        return [(i, bool(t) and next(differs) != i, b.encode()) for t, i, b in zip(texts, ids, back)]
+
+    def decoded(self, ids: list[list[int]]) -> list[str]:
+        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
     def chunks(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         """Chunks without the first space marker, and the texts' n + 1 offsets among them.
@@ -187,8 +203,7 @@ class Codec:
         chunks = A.strings(data[keep], np.append(place[starts], place[-1]))
         return chunks.dictionary_encode(), np.searchsorted(starts, offsets)
 
-    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts, the texts' n + 1 offsets, and corrected chunks of each text."""
+    def encoded(self, texts: pa.Array) -> Encoded:
         if self.chunked:
             coded, offsets = self.chunks(texts)
             keys, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(coded.indices)
@@ -198,85 +213,78 @@ class Codec:
             self.seen.clear()
         new = [k for k in keys if k not in self.seen]
         for at in range(0, len(new), 8192):
-            self.seen.update(zip(new[at:at + 8192], self.compared(new[at:at + 8192])))
-        if self.chunked and "" in self.seen:
-            self.seen[""] = (tuple(self.mark), False)
+            self.seen.update(zip(new[at:at + 8192], self.both_ways(new[at:at + 8192])))
         known = [self.seen[k] for k in keys]
         if not self.chunked:
             self.seen.clear()
-        size = np.fromiter((len(i) for i, _ in known), np.int64, len(known))
-        pool = np.fromiter(chain.from_iterable(i for i, _ in known), np.uint32, int(size.sum()))
+        size = np.fromiter((len(i) for i, *_ in known), np.int64, len(known))
+        pool = np.fromiter(chain.from_iterable(i for i, *_ in known), np.uint32, int(size.sum()))
         lengths = size[which]
         ids = pool[A.ragged((np.cumsum(size) - size)[which], lengths)]
-        wrong = np.concatenate(([0], np.cumsum(np.fromiter((w for _, w in known), np.int64, len(known))[which])))
-        return ids, np.concatenate(([0], np.cumsum(lengths)))[offsets], wrong[offsets[1:]] - wrong[offsets[:-1]]
-
-    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
-        """The text of each run of ids."""
-        sizes = self.size[ids]
-        data = self.spelled[A.ragged(self.place[ids], sizes)].tobytes()
-        ends = np.concatenate(([0], np.cumsum(sizes)))[offsets].tolist()
-        out = []
-        strip = self.model.dummy_prefix and not self.model.suffix
-        for i, (a, b) in enumerate(zip(ends, ends[1:])):
-            try:
-                text = data[a:b].decode()
-                out.append(text[1:] if strip and text[:1] == " " else text)
-            except UnicodeDecodeError:  # bytes that are no text: the library's rule for them
-                out.append(self.tokenizer.decode(ids[offsets[i]:offsets[i + 1]].tolist(), skip_special_tokens=False))
-        return out
+        wrong = np.concatenate(([0], np.cumsum(np.fromiter((w for _, w, _ in known), np.int64, len(known))[which])))
+        return Encoded(ids, np.concatenate(([0], np.cumsum(lengths)))[offsets], wrong[offsets[1:]] - wrong[offsets[:-1]], self._joined([b for *_, b in known], which, offsets))
+
+    def _joined(self, parts: list[bytes], which: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Texts of decoded chunks: each one but a text's first stands behind the space that it was cut at."""
+        spaced = [b" " + p for p in parts] if self.chunked else parts
+        size = np.fromiter(map(len, spaced), np.int64, len(spaced))
+        data = np.frombuffer(b"".join(spaced), np.uint8)
+        starts, lengths = (np.cumsum(size) - size)[which], size[which]
+        if self.chunked:
+            first = offsets[:-1][np.diff(offsets) > 0]
+            starts[first] += 1
+            lengths[first] -= 1
+        ends = np.concatenate(([0], np.cumsum(lengths)))[offsets]
+        return A.strings(data[A.ragged(starts, lengths)], ends)
 
 
 @lru_cache(maxsize=1)
-def shared(path: str) -> Codec:
+def shared(path: str, parity: bool) -> Codec:
     """One codec for all tasks that a Python worker runs, with what it remembers."""
-    return Codec(path)
+    return Codec(path, parity=parity)
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids, corrected of every row."""
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", parity: bool = True) -> DataFrame:
+    """doc_id, ids, differs of every row."""
 
     def encode(batches):
-        codec = shared(path)
+        codec = shared(path, parity)
         for batch in batches:
             for part, texts in A.slices(batch):
-                ids, offsets, wrong = codec.ids(texts)
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([A.column(part, "doc_id"), lists, pa.array(wrong, pa.int64())], names=["doc_id", "ids", "corrected"])
+                e = codec.encoded(texts)
+                lists = pa.ListArray.from_arrays(pa.array(e.offsets, pa.int32()), pa.array(e.ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([A.column(part, "doc_id"), lists, pa.array(e.differs, pa.int64())], names=["doc_id", "ids", "differs"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(encode, "doc_id long, ids array<int>, corrected long")
+    return own.mapInArrow(encode, "doc_id long, ids array<int>, differs long")
 
 
 def decoded(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id, text of every row of ids."""
 
     def decode(batches):
-        codec = shared(path)
+        codec = shared(path, False)
         for batch in batches:
-            lists = pc.fill_null(A.column(batch, "ids"), pa.scalar([], pa.list_(pa.int32())))
-            counts = np.asarray(pc.list_value_length(lists), np.int64) if len(lists) else np.zeros(0, np.int64)
-            flat = np.asarray(pc.list_flatten(lists)).astype(np.uint32) if len(lists) else np.zeros(0, np.uint32)
-            texts = codec.texts(flat, np.concatenate(([0], np.cumsum(counts))))
+            texts = codec.decoded([i or [] for i in A.column(batch, "ids").to_pylist()])
             yield pa.RecordBatch.from_arrays([A.column(batch, "doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     own = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     return own.mapInArrow(decode, "doc_id long, text string")
 
 
-def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 (little-endian unsigned 32-bit ids), corrected, and
+def round_trips(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", parity: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_crc32 (little-endian unsigned 32-bit ids), differs, and
     round_trip (decoding the ids gives the text) of every row."""
 
     def both(batches):
-        codec = shared(path)
+        codec = shared(path, parity)
         for batch in batches:
             for part, texts in A.slices(batch):
-                ids, offsets, wrong = codec.ids(texts)
-                same = pc.equal(pa.array(codec.texts(ids, offsets), pa.string()), texts)
-                data, at = ids.astype("<u4").tobytes(), (offsets * 4).tolist()
+                e = codec.encoded(texts)
+                same = pc.equal(e.texts, texts)
+                data, at = e.ids.astype("<u4").tobytes(), (e.offsets * 4).tolist()
                 digests = [zlib.crc32(data[a:b]) for a, b in zip(at, at[1:])]
-                yield pa.RecordBatch.from_arrays([A.column(part, "doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.int64()), pa.array(wrong, pa.int64()), same], names=["doc_id", "n_tokens", "ids_crc32", "corrected", "round_trip"])
+                yield pa.RecordBatch.from_arrays([A.column(part, "doc_id"), pa.array(np.diff(e.offsets), pa.int64()), pa.array(digests, pa.int64()), pa.array(e.differs, pa.int64()), same], names=["doc_id", "n_tokens", "ids_crc32", "differs", "round_trip"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(both, "doc_id long, n_tokens long, ids_crc32 long, corrected long, round_trip boolean")
+    return own.mapInArrow(both, "doc_id long, n_tokens long, ids_crc32 long, differs long, round_trip boolean")

@@ -1,11 +1,13 @@
 """Language ID and licences by held-out accuracy, top-k and sharding by brute force, the pipeline."""
 
+import dataclasses
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_docs import ROWS
 
@@ -39,12 +41,69 @@ def test_language_id_never_learns_held_out_rows(spark):
 def test_language_id_of_odd_rows(docs, none, network):
     got = Counter((r["doc_id"], r["held_out"], r["lang_pred"] == "und") for r in language_id.predictions(docs, network).collect())
     assert got == Counter((i, i is not None and zlib.crc32(str(i).encode()) % 4 == 2, t is None or not any(c.isalpha() for c in t)) for i, t, _ in ROWS)
-    kept = language_id.identified(docs, network, 0.0)
+    kept = language_id.identified(docs, dataclasses.replace(network, limit=1.0))
     assert kept.columns == docs.columns and kept.count() == sum(any(c.isalpha() for c in t or "") for _, t, _ in ROWS)
+    assert language_id.identified(docs, None).count() == 0
     assert language_id.predictions(none, network).count() == 0 and language_id.fitted(none) is None
     assert {r["lang_pred"] for r in language_id.predictions(docs, None).collect()} == {"und"}
 
 
+def test_junk_and_unlearnt_languages_are_rejected(spark, network):
+    junk = ["x 12 34 #### 55 ++ 9981", "a", "|||| ==== q ----", "これは日本語の文章です。今日はいい天気ですね。", "Это русский текст о погоде и природе.", "Ελληνικό κείμενο για τον καιρό", "한국어 문장입니다", "z9 z8 q7 ====", "12 345 ..."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(junk)], "doc_id long, text string")
+    assert language_id.identified(df, network).count() == 0
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("text rlike '\\\\p{L}{2}'")
+    assert language_id.identified(docs, network).count() >= 0.99 * docs.count()
+
+
+def test_network_equals_plain_convolutions(network):
+    """Each filter at each byte, one by one, and the windows' weighted mean."""
+    rng = np.random.default_rng(4)
+    for text in ("Le chat est sur la table.", "x", "word " * 200, "é" * 300, rng.bytes(700).decode("latin-1")):
+        data = text.encode()
+        step, width = language_id.WINDOW - 3, max(language_id.WIDTHS)
+        starts = range(0, max(1, len(data) - width + 1), step)
+        total, weights = np.zeros(len(network.languages) + 1), 0
+        for at in starts:
+            window = data[at:at + language_id.WINDOW]
+            padded = window + bytes(language_id.WINDOW - len(window))
+            pooled = np.full(network.filters.shape[1], -np.inf)
+            for k in range(language_id.WINDOW - width + 1):
+                z = sum(network.embed[padded[k + j]] @ network.filters[j * language_id.EMBED:(j + 1) * language_id.EMBED] for j in range(width))
+                pooled = np.maximum(pooled, z)
+            s = np.maximum(pooled + network.bias, 0) @ network.out + network.out_bias
+            e = np.exp(s - s.max())
+            total += e / e.sum() * len(window)
+            weights += len(window)
+        names, score, none = language_id.label(network, pa.array([text]))
+        assert names[0] == network.languages[int(total[:-1].argmax())] or not any(c.isalpha() for c in text)
+        assert abs(none[0] - total[-1] / weights) < 1e-4 and abs(score[0] - total[:-1].max() / weights) < 1e-4
+
+
+def test_gradients_by_differences():
+    rng = np.random.default_rng(2)
+    p, used = language_id.started(("a", "b"), rng)
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    used = used.astype(np.float64)
+    x, y, weight = rng.integers(0, 256, (5, language_id.WINDOW)).astype(np.uint8), np.asarray([0, 1, 2, 1, 0]), np.asarray([1.0, 0.5, 2.0, 1.0, 1.5])
+
+    def loss(q):
+        share = language_id.Network(("a", "b"), **q).probabilities(x)
+        return float(-(weight * np.log(share[np.arange(5), y])).sum() / 5)
+
+    found = language_id.gradients(language_id.Network(("a", "b"), **p), x, y, weight, used)
+    for name, grad in found.items():
+        flat = p[name].reshape(-1)
+        for i in rng.choice(np.flatnonzero(np.abs(grad.reshape(-1)) > 1e-6), 6):
+            old, h = flat[i], 1e-6
+            flat[i] = old + h
+            above = loss(p)
+            flat[i] = old - h
+            below = loss(p)
+            flat[i] = old
+            assert abs((above - below) / (2 * h) - grad.reshape(-1)[i]) < 1e-5, name
+
+
 def test_windows_cover_every_byte():
     for n in (0, 1, 255, 256, 257, 1000, 5000):
         start, size, _ = language_id.layout(np.zeros(n, np.uint8), np.asarray([0, n]))

@@ -154,10 +154,13 @@ def test_pieces_equal_the_library():
     rnd = random.Random(3)
     alphabet = [*"ab  the\n\t中é😀▁ ▁\x00<>s/", "   ", " " * 20, "</s>", "<0x41>", "<unk>"]
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(3000)] + ["", " ", "▁", "a ", " a", " " * 40]
-    ids, offsets, corrected = codec.ids(pa.array(texts))
+    e = codec.encoded(pa.array(texts))
     expected = library.encode(texts)
-    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected and not corrected.any()
-    assert codec.texts(ids, offsets) == [library.decode(e) for e in expected]
+    assert [e.ids[a:b].tolist() for a, b in zip(e.offsets, e.offsets[1:])] == expected and not e.differs.any()
+    back = [library.decode(x) for x in expected]
+    assert e.texts.to_pylist() == back and codec.decoded(expected) == back
+    alone = sentencepiece_codec.Codec(PIECE, parity=False).encoded(pa.array(texts))
+    assert (alone.ids == e.ids).all() and (alone.offsets == e.offsets).all()
 
 
 def model_file(path, kind, pieces, **normal):
@@ -188,15 +191,15 @@ def test_unigram_model(tmp_path, extra):
     path = model_file(tmp_path / "u.model", 1, pieces, extra=extra)
     library, codec = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.Codec(path)
     texts = ["hello", "hell o  hello", "  he ll ", "", "hezzz", "o l h"]
-    ids, offsets, corrected = codec.ids(pa.array(texts))
-    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == library.encode(texts)
-    assert corrected.sum() == 0
+    e = codec.encoded(pa.array(texts))
+    assert [e.ids[a:b].tolist() for a, b in zip(e.offsets, e.offsets[1:])] == library.encode(texts)
+    assert e.differs.sum() == 0
 
 
 def test_codec_of_odd_rows(spark, docs, none):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
     rows = sentencepiece_codec.encoded(docs, PIECE)
-    got = Counter((r["doc_id"], tuple(r["ids"]), r["corrected"]) for r in rows.collect())
+    got = Counter((r["doc_id"], tuple(r["ids"]), r["differs"]) for r in rows.collect())
     assert got == Counter((i, tuple(library.encode(t or "")), 0) for i, t, _ in ROWS)
     back = Counter(map(tuple, sentencepiece_codec.decoded(rows, PIECE).collect()))
     assert back == Counter((i, (t or "").replace("▁", " ")) for i, t, _ in ROWS)
@@ -206,4 +209,4 @@ def test_codec_of_odd_rows(spark, docs, none):
     for i, t, _ in ROWS:
         own = library.encode(t or "")
         r = trips[i, len(own)]
-        assert r["round_trip"] == ("▁" not in (t or "")) and r["corrected"] == 0
+        assert r["round_trip"] == ("▁" not in (t or "")) and r["differs"] == 0
