@@ -1,7 +1,7 @@
 """The corpus pipeline: stages over `documents`, each on all that the one before kept.
 
-Language ID drops texts without a letter and those whose best language scores
-below MIN_SCORE; exact dedup keeps one document of equal texts; SimHash
+Language ID drops texts without a letter and those that the network takes for no
+learnt language, by a limit that is calibrated on labelled windows; exact dedup keeps one document of equal texts; SimHash
 near-dedup keeps one document of each linked group; substring dedup takes words
 of repeated windows out of the texts (rows stay, n_chars follows the text);
 best-fit packing lays the documents out in sequences. All but the last return
@@ -16,12 +16,9 @@ from citystream.llm import exact_dedup, language_id, packing, queries, simhash,
 from citystream.session import scratch_path
 from citystream.sources.tables import table
 
-#: Least probability of the best language. With four languages learnt, chance gives 0.25.
-MIN_SCORE = 0.3
-
 
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.identified(docs, language_id.fitted(docs), MIN_SCORE)
+    return language_id.identified(docs, language_id.fitted(docs))
 
 
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
