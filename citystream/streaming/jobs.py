@@ -20,8 +20,9 @@ from citystream.session import scratch_path
 from citystream.sources import lookups
 from citystream.streaming import sinks
 from citystream.streaming.sources import feed_stream, topic_stream
-from citystream.streaming.stateful import (BUNCHING_OUT, GRIDLOCK_OUT, GROUPS, ROCKSDB_PROVIDER,
-                                           BunchingProcessor, GridlockProcessor, to_tiles)
+from citystream.operators.near import TILE_M
+from citystream.streaming.stateful import (BUNCHING_OUT, EVALUATED, GRIDLOCK_OUT, LANES, PAIR_BUCKETS, ROCKSDB_PROVIDER, TRACKED, BusTracker,
+                                           GridlockProcessor, InOrder, PairFold, TileWatch, to_tiles, with_lane)
 
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
@@ -211,33 +212,51 @@ def progress_stream(spark: SparkSession, source: dict, base: str | None = None)
 
 # ------------------------------------------------------------ keyed-state detectors
 
-def _gridlock(spark: SparkSession, source: dict) -> DataFrame:
-    sig = feed_stream(spark, "signals", source).select("junction_id", "zone", "avg_wait_sec", "timestamp_ms", "seq")
-    return sig.filter("junction_id IS NOT NULL").groupBy("junction_id").transformWithStateInPandas(
-        statefulProcessor=GridlockProcessor(), outputStructType=GRIDLOCK_OUT, outputMode="Append", timeMode="None")
+def _keyed_state(rows: DataFrame, keys: list[str], processor, schema, event_time: bool = False) -> DataFrame:
+    more = {"eventTimeColumnName": "event_time"} if event_time and "event_time" in str(schema) else {}
+    return rows.groupBy(*keys).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append",
+                                                          timeMode="EventTime" if event_time else "None", **more)
 
 
-def _bunching(spark: SparkSession, source: dict, groups: int = GROUPS, ttl_ms: int | None = None) -> DataFrame:
-    bus = feed_stream(spark, "bus_gps", source).select("route_id", "bus_id", "lat", "lon", "timestamp_ms", "seq")
-    return (to_tiles(bus, groups).groupBy("route_id", "tile").transformWithStateInPandas(
-        statefulProcessor=BunchingProcessor(groups=groups, ttl_ms=ttl_ms), outputStructType=BUNCHING_OUT,
-        outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
-        .withColumn("distance_m", F.round("distance", 2)).drop("distance"))
+def _released(rows: DataFrame, keys: list[str], reorder: str | None) -> DataFrame:
+    """Rows as they come, or with `reorder` (a delay) held until the watermark has passed them, in order."""
+    if reorder is None:
+        return rows
+    return _keyed_state(rows.withWatermark("event_time", reorder), keys, InOrder(rows.columns), rows.schema, event_time=True)
 
 
-def start_gridlock(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+def _gridlock(spark: SparkSession, source: dict, reorder: str | None = None) -> DataFrame:
+    sig = feed_stream(spark, "signals", source).select("junction_id", "zone", "avg_wait_sec", "timestamp_ms", "seq", "event_time").filter("junction_id IS NOT NULL")
+    return _keyed_state(_released(sig, ["junction_id"], reorder).drop("event_time"), ["junction_id"], GridlockProcessor(), GRIDLOCK_OUT)
+
+
+def _bunching(spark: SparkSession, source: dict, reorder: str | None = None, expiry_ms: int | None = None, tile_m: float = TILE_M, lanes: int = LANES,
+              buckets: int = PAIR_BUCKETS, watermark: str = "10 minutes") -> DataFrame:
+    """`reorder`: delay for which events are held and put in order. `expiry_ms`: silence (in event time)
+    after which a bus and its episodes are forgotten; `watermark` then is how late events may be."""
+    bus = with_lane(feed_stream(spark, "bus_gps", source), lanes)
+    bus = _released(bus, ["route_id", "lane"], reorder)
+    if expiry_ms is not None and reorder is None:
+        bus = bus.withWatermark("event_time", watermark)
+    tracked = _keyed_state(bus, ["route_id", "lane"], BusTracker(expiry_ms), TRACKED, event_time=expiry_ms is not None)
+    seen = _keyed_state(to_tiles(tracked, tile_m=tile_m), ["route_id", "tile"], TileWatch(), EVALUATED)
+    pairs = seen.withColumn("bucket", F.pmod(F.xxhash64("pair"), F.lit(buckets)).cast("int"))
+    return _keyed_state(pairs, ["route_id", "bucket"], PairFold(), BUNCHING_OUT).withColumn("distance_m", F.round("distance", 2)).drop("distance")
+
+
+def start_gridlock(spark: SparkSession, source: dict, base: str, trigger=None, reorder: str | None = None) -> StreamingQuery:
     with _rocksdb_state(spark):
-        return _append(spark, _gridlock(spark, source), base, "gridlock", trigger)
+        return _append(spark, _gridlock(spark, source, reorder), base, "gridlock", trigger)
 
 
-def gridlock_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
-    base, _ = _replayed(spark, start_gridlock, source, "gridlock", base)
+def gridlock_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
+    base, _ = _replayed(spark, start_gridlock, source, "gridlock", base, **kw)
     return _read(spark, base, GRIDLOCK_OUT)
 
 
-def start_bunching(spark: SparkSession, source: dict, base: str, trigger=None, groups: int = GROUPS, ttl_ms: int | None = None) -> StreamingQuery:
+def start_bunching(spark: SparkSession, source: dict, base: str, trigger=None, **kw) -> StreamingQuery:
     with _rocksdb_state(spark):
-        return _append(spark, _bunching(spark, source, groups, ttl_ms), base, "bus_bunching", trigger)
+        return _append(spark, _bunching(spark, source, **kw), base, "bus_bunching", trigger)
 
 
 def bunching_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
@@ -247,14 +266,14 @@ def bunching_stream(spark: SparkSession, source: dict, base: str | None = None,
 
 # ------------------------------------------------------------ unified incidents
 
-def _incidents(spark: SparkSession, source: dict) -> DataFrame:
-    return incidents.unified(alerts.aqi_alerts(feed_stream(spark, "air_quality", source)), _gridlock(spark, source), _bunching(spark, source))
+def _incidents(spark: SparkSession, source: dict, reorder: str | None = None) -> DataFrame:
+    return incidents.unified(alerts.aqi_alerts(feed_stream(spark, "air_quality", source)), _gridlock(spark, source, reorder), _bunching(spark, source, reorder))
 
 
-def start_incidents(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
+def start_incidents(spark: SparkSession, source: dict, base: str, trigger=None, reorder: str | None = None) -> StreamingQuery:
     """The three detectors as one streaming query into one incident sink."""
     with _rocksdb_state(spark):
-        return _append(spark, _incidents(spark, source), base, "incidents", trigger)
+        return _append(spark, _incidents(spark, source, reorder), base, "incidents", trigger)
 
 
 def start_incidents_kafka(spark: SparkSession, source: dict, base: str, kafka_options: dict, topic: str = "city.incidents", trigger=None) -> StreamingQuery:
@@ -263,6 +282,6 @@ def start_incidents_kafka(spark: SparkSession, source: dict, base: str, kafka_op
         return sinks.start_kafka(incidents.incident_records(_incidents(spark, source)), topic, _checkpoint(base), "incidents_kafka", kafka_options, trigger)
 
 
-def incident_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
-    base, _ = _replayed(spark, start_incidents, source, "incidents", base)
+def incident_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
+    base, _ = _replayed(spark, start_incidents, source, "incidents", base, **kw)
     return _read(spark, base)

@@ -84,18 +84,129 @@ def test_ingest_time_fallback(spark, con, three_batches):
     assert "MALFORMED_JSON" in reasons and "UNPARSEABLE_TIMESTAMP" not in reasons
 
 
-@pytest.mark.parametrize("groups", [1, 3])
-def test_bunching_stream_in_any_number_of_tiles(spark, con, three_batches, groups):
-    problems, n, _ = compare(jobs.bunching_stream(spark, three_batches, groups=groups), con, ORACLE["bus_bunching"])
+@pytest.mark.parametrize("tile_m", [150.0, 50_000.0])
+def test_bunching_stream_in_tiles_of_any_size(spark, con, three_batches, tile_m):
+    problems, n, _ = compare(jobs.bunching_stream(spark, three_batches, tile_m=tile_m), con, ORACLE["bus_bunching"])
     assert not problems, problems
 
 
-def test_one_route_uses_several_tiles(spark):
-    from pyspark.sql import functions as F
-    from citystream.streaming.stateful import to_tiles
-    bus = spark.range(100).select(F.lit("R1").alias("route_id"), F.col("id").cast("string").alias("bus_id"))
-    assert to_tiles(bus, 4).select("tile").distinct().count() == 10
-    assert to_tiles(bus, 4).count() == 400
+class Value:
+    """A ValueState in memory."""
+
+    def __init__(self):
+        self.held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+class Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getValueState(self, name, schema):
+        return Value()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def chain(spark, batches, expiry_ms=None, watermarks=None, tile_m=1000.0):
+    """Alerts (seq, bus_1) of the three processors, fed with micro-batches in memory, and the processors."""
+    import pandas as pd
+    from citystream.streaming import stateful as S
+
+    def made(kind, *args):
+        p = kind(*args)
+        p.init(Handle())
+        return p
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    trackers, tiles, folds, alerts = {}, {}, {}, []
+    for k, batch in enumerate(batches):
+        now = Now((watermarks or [0] * len(batches))[k])
+        rows = S.with_lane(batch, 2).toPandas()
+        tracked = []
+        for key, part in rows.groupby(["route_id", "lane"]):
+            tracked += trackers.setdefault(key, made(S.BusTracker, expiry_ms)).handleInputRows(key, iter([part]), now)
+        for key, p in trackers.items():
+            if any(t <= now.at for t in p.handle.timers):
+                p.handle.timers = [t for t in p.handle.timers if t > now.at]
+                tracked += p.handleExpiredTimer(key, now, None)
+        out = pd.concat(tracked, ignore_index=True).astype(object)
+        records = [tuple(None if v is pd.NA or v != v else v for v in r) for r in out.itertuples(index=False)]
+        seen = []
+        for key, part in S.to_tiles(spark.createDataFrame(records, S.TRACKED), tile_m=tile_m).toPandas().groupby(["route_id", "tile"]):
+            seen += tiles.setdefault(key, made(S.TileWatch)).handleInputRows(key, iter([part]), now)
+        if seen:
+            for key, part in pd.concat(seen, ignore_index=True).groupby("route_id"):
+                for a in folds.setdefault(key, made(S.PairFold)).handleInputRows((key, 0), iter([part]), now):
+                    alerts += [(int(r["seq"]), r["bus_1"]) for _, r in a.iterrows()]
+    return sorted(alerts), trackers, tiles, folds
+
+
+BUS = "route_id string, bus_id string, lat double, lon double, timestamp_ms long, seq long"
+
+
+def test_a_pair_that_crosses_tiles_keeps_its_episode(spark):
+    """Two buses drive side by side through many tiles, then part and meet again."""
+    from citystream.operators import bunching
+    rows = [("R", "AB"[i % 2], 1.0, 1.0 + 0.0004 * i if i < 40 else 1.016 + (i % 2) * 0.1 if i < 44 else 1.02, 60_000 * i, i) for i in range(60)]
+    bus = spark.createDataFrame(rows, BUS)
+    batch = sorted((r.seq, r.bus_1) for r in bunching.bunching_alerts(bus).collect())
+    assert len(batch) > 5
+    for size in (1, 7, 60):
+        for tile_m in (300.0, 1000.0):
+            parts = [spark.createDataFrame(rows[k:k + size], BUS) for k in range(0, 60, size)] if size > 1 else [spark.createDataFrame(rows[k:k + 1], BUS) for k in range(0, 24)]
+            got, _, tiles, folds = chain(spark, parts, tile_m=tile_m)
+            assert got == [a for a in batch if a[0] < (60 if size > 1 else 24)]
+            assert len(tiles) > 3
+
+
+def test_a_silent_bus_is_forgotten(spark):
+    """At its bound in event time a bus goes, its episode with it; memory follows."""
+    rows = [("R", "A", 1.0, 1.0, 0, 0), ("R", "B", 1.0, 1.0, 10, 1), ("R", "C", 5.0, 5.0, 400_000, 2), ("R", "A", 1.0, 1.0, 500_000, 3)]
+    parts = [spark.createDataFrame([r], BUS) for r in rows]
+    marks = [0, 0, 390_000, 390_000]
+    kept, *_ = chain(spark, parts)
+    assert kept == [(3, "A")]
+    alerts, trackers, tiles, folds = chain(spark, parts, expiry_ms=300_000, watermarks=marks)
+    assert alerts == []
+    assert sorted(b for p in trackers.values() for b in p.buses.get()["bus_id"]) == ["A", "C"]
+    assert all(len(p.episodes.get()) == 0 for p in folds.values())
+
+
+def test_expiry_on_a_replay(spark, three_batches):
+    """With a bound that no bus reaches all alerts stay; a short one leaves some out."""
+    whole = jobs.bunching_stream(spark, three_batches, expiry_ms=10 ** 9).count()
+    assert whole == compare(jobs.bunching_stream(spark, three_batches), duck(SF_SMALL), ORACLE["bus_bunching"])[1]
+    assert jobs.bunching_stream(spark, three_batches, expiry_ms=60_000, watermark="1 minute").count() < whole
+
+
+def test_swapped_files_give_the_same_alerts(spark, con):
+    """Files 2 and 3 arrive in each other's place; held for two hours, alerts are those in order."""
+    delay = 7000 * 700
+    src = _split_events([(0, 300), (600, 900), (300, 600), (900, 10 ** 9), (999, 10 ** 9)])
+    last = max(pq.read_table(f"{SF_SMALL}/events.parquet")["event_id"].to_pylist())
+    upto = f" WHERE timestamp_ms <= {1704067200000 + last * 7000 - delay}"
+    for job, oracle in ((jobs.gridlock_stream, "gridlock"), (jobs.bunching_stream, "bus_bunching")):
+        problems, n, _ = compare(job(spark, src, reorder=f"{delay // 1000} seconds"), con, f"SELECT * FROM ({ORACLE[oracle]}){upto}")
+        assert not problems and n, problems
 
 
 def test_detectors_survive_missing_values(spark):
@@ -118,42 +229,33 @@ def test_detectors_survive_missing_values(spark):
     bus = spark.createDataFrame(bus_rows, "route_id string, bus_id string, lat double, lon double, timestamp_ms long, seq long")
     batch = [(r.seq, r.bus_1) for r in bunching.bunching_alerts(bus).collect()]
 
-    class Map(dict):
-        iterator = dict.items
-        updateValue = dict.__setitem__
-        removeKey = dict.__delitem__
-
-    q = stateful.BunchingProcessor(groups=1)
-    q.positions, q.starts = Map(), Map()
-    alerts = []
-    feed = stateful.to_tiles(bus, 1).toPandas().sort_values("seq")
-    for _, part in feed.groupby(feed["seq"] // 2):     # micro-batches of two rows
-        alerts += [(r["seq"], r["bus_1"]) for _, r in pd.concat(q.handleInputRows(("R", 0), iter([part]), None)).iterrows()]
+    alerts, *_ = chain(spark, [bus.filter(F.col("seq").between(k, k + 1)) for k in range(0, 92, 2) if bus.filter(F.col("seq").between(k, k + 1) & F.col("route_id").isNotNull() & F.col("bus_id").isNotNull()).count()])
     assert alerts == batch == [(3, "B")]
 
 
-def test_bunching_memory_follows_open_episodes():
+def test_bunching_memory_follows_near_pairs():
     """6000 buses of one tile, of which two are near: no room for all pairs of buses."""
     import tracemalloc
+    import numpy as np
     import pandas as pd
-    from citystream.streaming import stateful
-
-    class Map(dict):
-        iterator = dict.items
-        updateValue = dict.__setitem__
-        removeKey = dict.__delitem__
-
-    q = stateful.BunchingProcessor(groups=1)
-    q.positions, q.starts = Map(), Map()
+    from citystream.streaming import stateful as S
     n = 6000
-    feed = pd.DataFrame({"bus_id": [f"B{i:05d}" for i in range(n)] + ["B00000", "B00001"], "grp": 0, "lat": [0.0, 0.0] + [0.01 * i for i in range(2, n)] + [0.0, 0.0],
-                         "lon": [180.0, -179.9999] + [10.0] * (n - 2) + [180.0, -179.9999], "timestamp_ms": [0] * n + [10 ** 6] * 2, "seq": range(n + 2)})
+    bus = [f"B{i:05d}" for i in range(n)] + ["B00000", "B00001"]
+    feed = pd.DataFrame({"bus_id": bus, "seq": range(n + 2), "timestamp_ms": [0] * n + [10 ** 6] * 2, "lat": [0.0, 0.0] + [0.01 * i for i in range(2, n)] + [0.0, 0.0],
+                         "lon": [180.0, -179.9999] + [10.0] * (n - 2) + [180.0, -179.9999]})
+    feed["was_lat"], feed["was_lon"] = [np.nan] * n + [0.0, 0.0], [np.nan] * n + [180.0, -179.9999]
+    feed["ordinal"] = list(range(n)) + [1, 2]
+    feed["here"], feed["asked"], feed["left"] = True, True, feed["was_lat"].notna()
+    watch, fold = S.TileWatch(), S.PairFold()
+    watch.init(Handle())
+    fold.init(Handle())
     tracemalloc.start()
-    got = pd.concat(q.handleInputRows(("R", 0), iter([feed]), None))
+    seen = pd.concat(watch.handleInputRows(("R", 0), iter([feed]), None))
+    got = pd.concat(fold.handleInputRows(("R", 0), iter([seen]), None))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert [(r["bus_1"], r["bus_2"], r["seq"]) for _, r in got.iterrows()] == [("B00000", "B00001", n)]
-    assert len(q.positions) == n and len(q.starts) == 1     # opened again by the last event
+    assert len(watch.places.get()) == n and len(fold.episodes.get()) == 1     # opened again by the last event
     assert peak < 40 * 2 ** 20
 
 
