@@ -1,0 +1,102 @@
+"""Tables of runs: replays, merges, range reads, crashes before a commit, two writers."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from citystream.streaming.manifest import Conflict, Ledger, Manifest
+from citystream.streaming.runs import RunTable
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, "k string, t long, v double")
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    a, b = Manifest(spark, str(tmp_path / "m")), Manifest(spark, str(tmp_path / "m"))
+    assert a.latest() == (0, {})
+    assert a.commit(0, {"x": "ä"}) == 1
+    with pytest.raises(Conflict):
+        b.commit(0, {"x": 2})
+    assert b.latest() == (1, {"x": "ä"})
+    for v in range(1, 6):
+        a.commit(v, {"x": v})
+    assert [d["x"] for d in a.forget(2)] == [4, 5] and a.versions() == [5, 6]
+
+
+def test_ledger_runs_an_effect_once(spark, tmp_path):
+    done = []
+    for batch in (0, 0, 1, 1, 0):
+        Ledger(spark, str(tmp_path / "l")).once(batch, lambda: done.append(batch))
+    assert done == [0, 1]
+
+
+def test_upsert_over_fifty_batches(spark, tmp_path):
+    """One row per key whatever is merged when; reads of a range stay flat; replays change nothing."""
+    table = RunTable(spark, str(tmp_path / "t"), keys=["k", "t"], order="t", fan=4)
+    truth, touched = {}, []
+    for b in range(50):
+        rows = [(k, t, b + 0.5) for k in "ab" for t in (b, b + 1)]
+        if b == 20:
+            rows.append((None, b, None))
+        truth |= {(k, t): v for k, t, v in rows}
+        table.append(_batch(spark, rows).coalesce(1), b)
+        table.maintain()
+        assert not table.append(_batch(spark, [("a", b, -1.0)]), b)
+        touched.append(sum(r["bytes"] for r in table.runs() if r["lo"] <= b + 1 and r["hi"] >= b))
+    got = {(r.k, r.t): r.v for r in table.read().collect()}
+    assert got == truth
+    assert {(r.k, r.t) for r in table.read(between=(30, 31)).collect()} == {(k, t) for k in "ab" for t in (30, 31)}
+    assert len(table.runs()) <= 3 * 4                       # levels of at most fan - 1
+    assert max(touched[25:]) <= 2 * max(touched[5:25])      # what a batch's range reaches doesn't grow
+    files = [p for r in table.runs() for p in (tmp_path / "t" / f"run={r['run']}").glob("*.parquet")]
+    assert len(files) <= 3 * 4
+
+
+def test_combined_pieces(spark, tmp_path):
+    table = RunTable(spark, str(tmp_path / "t"), keys=["k"], combine={"t": "max", "v": "sum"}, fan=3)
+    for b in range(7):
+        table.append(_batch(spark, [("a", b, 1.0), ("a", -b, 1.0), ("b", None, None)]), b)
+        table.maintain()
+    assert {(r.k, r.t, r.v) for r in table.read().collect()} == {("a", 6, 14.0), ("b", None, None)}
+
+
+def test_partitioned_runs_and_empty_batches(spark, tmp_path):
+    table = RunTable(spark, str(tmp_path / "t"), order="t", partition_by=["k"], fan=3)
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    for b in range(10):
+        table.append(_batch(spark, [] if b % 3 == 1 else [("x", b, 1.0), ("01", b, 2.0), (None, b, 3.0)]), b)
+        table.maintain()
+    got = table.read()
+    assert got.schema["k"].dataType.simpleString() == "string"
+    assert sorted((r.k or "", r.t) for r in got.collect()) == sorted((k, b) for b in range(10) if b % 3 != 1 for k in ("x", "01", ""))
+    plan = got.filter("k = '01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(k" in plan
+    per_part = [p for r in table.runs() for p in (tmp_path / "t" / f"run={r['run']}" / "k=x").glob("*.parquet")]
+    assert len(per_part) <= 6
+
+
+def test_crash_before_a_commit(spark, tmp_path, monkeypatch):
+    """Rows written but not committed are not seen, neither those of a batch nor of a merge."""
+    table = RunTable(spark, str(tmp_path / "t"), order="t", fan=2)
+    table.append(_batch(spark, [("a", 1, 1.0)]), 0)
+
+    def dies(*a):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(Manifest, "commit", dies)
+        with pytest.raises(OSError):
+            table.append(_batch(spark, [("a", 2, 2.0)]), 1)
+    assert table.read().count() == 1
+    assert table.append(_batch(spark, [("a", 2, 2.0)]), 1)
+    reader = table.read()
+    with monkeypatch.context() as m:
+        m.setattr(Manifest, "commit", dies)
+        with pytest.raises(OSError):
+            table.compact()
+    assert len(table.runs()) == 2 and table.read().count() == 2
+    table.maintain()
+    assert len(table.runs()) == 1 and table.read().count() == 2
+    assert reader.count() == 2                              # the older version's files are still there
+    assert table.vacuum(keep=1) == 2 and table.read().count() == 2
+    assert table.read().agg(F.sum("v")).first()[0] == 3.0
