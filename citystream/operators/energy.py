@@ -7,7 +7,7 @@ through the shuffle, so skew in wards does not concentrate raw rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.functions.exact import rounded_mean, rounded_sum, units
@@ -19,19 +19,47 @@ def with_lake_columns(meters: DataFrame) -> DataFrame:
     return meters.withColumn("date", F.to_date("event_time"))
 
 
+def _sums() -> list[Column]:
+    # counters that add up, so that pieces of a window can be put together
+    return [F.sum(units("kwh_reading")).cast("decimal(38,0)").alias("kwh_units"),
+            F.sum(units("power_factor")).cast("decimal(38,0)").alias("pf_units"),
+            F.count(units("power_factor")).alias("pf_n"),
+            F.max(F.nanvl("voltage", F.lit(None).cast("double"))).alias("peak_voltage")]
+
+
+def _totals(start: Column, end: Column) -> list[Column]:
+    return [F.col("ward_id"), bound_string(start).alias("window_start"), bound_string(end).alias("window_end"),
+            rounded_sum("kwh_units").alias("total_kwh_consumed"),
+            rounded_mean("pf_units", "pf_n").alias("avg_power_factor"),
+            F.round("peak_voltage", 4).alias("peak_voltage")]
+
+
 def ward_energy(meters: DataFrame, window: str = "15 minutes") -> DataFrame:
     w = F.window("event_time", window)
-    return (meters.groupBy("ward_id", w.alias("w"))
-            .agg(F.sum(units("kwh_reading")).alias("kwh_units"),
-                 F.sum(units("power_factor")).alias("pf_units"),
-                 F.count(units("power_factor")).alias("pf_n"),
-                 F.max(F.nanvl("voltage", F.lit(None).cast("double"))).alias("peak_voltage"))
-            .select("ward_id",
-                    bound_string("w.start").alias("window_start"),
-                    bound_string("w.end").alias("window_end"),
-                    rounded_sum("kwh_units").alias("total_kwh_consumed"),
-                    rounded_mean("pf_units", "pf_n").alias("avg_power_factor"),
-                    F.round("peak_voltage", 4).alias("peak_voltage")))
+    return meters.groupBy("ward_id", w.alias("w")).agg(*_sums()).select(*_totals(F.col("w.start"), F.col("w.end")))
+
+
+#: How pieces of one ward and window combine.
+PIECE_COMBINE = {"kwh_units": "sum", "pf_units": "sum", "pf_n": "sum", "peak_voltage": "max"}
+PIECE_KEYS = ["ward_id", "start_ms", "end_ms"]
+
+
+def window_ms(window: str) -> int:
+    """Length of a window given as "15 minutes"."""
+    number, unit = window.split()
+    return int(number) * {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
+
+
+def ward_pieces(meters: DataFrame, window: str = "15 minutes") -> DataFrame:
+    """Counters of a part of the readings per ward and window (see `PIECE_COMBINE`)."""
+    w = F.window("event_time", window)
+    return (meters.filter(F.col("event_time").isNotNull())
+            .groupBy("ward_id", F.unix_millis(w["start"]).alias("start_ms"), F.unix_millis(w["end"]).alias("end_ms")).agg(*_sums()))
+
+
+def totals_of(pieces: DataFrame) -> DataFrame:
+    """Totals from combined pieces."""
+    return pieces.select(*_totals(F.timestamp_millis("start_ms"), F.timestamp_millis("end_ms")))
 
 
 def preview(agg: DataFrame, n: int = 20) -> DataFrame:

@@ -1,7 +1,9 @@
 """Consumer-group progress on one topic: per group and partition, messages
 consumed, last offset, and how many progress reports the group emits (one
-every `interval` messages). All groups read the same records independently,
-so one partial aggregate per partition serves every group."""
+every `interval` messages). On a table all groups have read the same records,
+so one partial aggregate per partition serves every group; a stream job counts
+what its own group has read (`streaming.jobs.progress_stream`), and how far it
+is behind is in `streaming.lag`."""
 
 from __future__ import annotations
 

@@ -19,6 +19,8 @@ OUT_OF_RANGE = "AQI_OUT_OF_RANGE"
 # Our own reasons for records that could not be read.
 MALFORMED = "MALFORMED_JSON"
 BAD_TIME = "UNPARSEABLE_TIMESTAMP"
+# ... and for those whose window was closed when they came.
+LATE = "LATE"
 AQI_MIN, AQI_MAX = 0.0, 500.0
 SOURCE_TOPIC = "city.air_quality"
 

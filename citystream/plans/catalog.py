@@ -543,3 +543,29 @@ def stream_feed_progress(spark, sf_dir):
 @register("stream_incidents", ORACLE["incidents"])
 def stream_incidents(spark, sf_dir):
     return stream_jobs.incident_stream(spark, _replay(sf_dir))
+
+
+@register("stream_meters_once_totals", _ward_energy_sql(900_000))
+def stream_meters_once_totals(spark, sf_dir):
+    """Ward totals of the job that feeds lake, totals, late rows and console from one scan."""
+    return stream_jobs.meters_once_stream(spark, _replay(sf_dir)).totals()
+
+
+@register("stream_meters_once_lake", ORACLE["stream_lake"])
+def stream_meters_once_lake(spark, sf_dir):
+    """The same job's lake, through its manifest."""
+    return stream_jobs.meters_once_stream(spark, _replay(sf_dir)).lake.read().drop("event_time", "timestamp_ms", "seq")
+
+
+@register("drain_quality", ORACLE["dlq_summary"])
+def drain_quality(spark, sf_dir):
+    """Quality report over what a bounded drain of the topic has read."""
+    records = stream_jobs.drain_topic(spark, "air_quality", _replay(sf_dir))
+    return quality.summary(kafka.decode(records, "air_quality"))
+
+
+@register("stream_lag", """SELECT g.job, count(*) AS input_rows, count(*) AS read_rows, 0 AS behind_rows
+FROM events CROSS JOIN (VALUES ('HIGH_PRIORITY'), ('STANDARD_PRIORITY')) AS g(job) GROUP BY g.job""")
+def stream_lag(spark, sf_dir):
+    """Lag of the two groups' jobs, whose replay is one micro-batch, after it."""
+    return stream_jobs.lag_stream(spark, _replay(sf_dir)).drop("batch_id")

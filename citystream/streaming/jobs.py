@@ -9,6 +9,7 @@ its end (availableNow) and return what the sink holds as a batch DataFrame."""
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,10 @@ from citystream.operators import advisory, alerts, energy, enrich, incidents, pr
 from citystream.session import scratch_path
 from citystream.sources import lookups
 from citystream.streaming import sinks
-from citystream.streaming.sources import feed_stream, topic_stream
+from citystream.streaming.lag import ProgressLog, rows_behind
+from citystream.streaming.manifest import Ledger
+from citystream.streaming.runs import RunTable
+from citystream.streaming.sources import MOST_FILES, feed_stream, topic_stream
 from citystream.operators.near import TILE_M
 from citystream.streaming.stateful import (BUNCHING_OUT, EVALUATED, GRIDLOCK_OUT, LANES, PAIR_BUCKETS, ROCKSDB_PROVIDER, TRACKED, BusTracker,
                                            GridlockProcessor, InOrder, PairFold, TileWatch, to_tiles, with_lane)
@@ -113,6 +117,76 @@ def start_all_meters(spark: SparkSession, source: dict, base: str, trigger: dict
             start_ward_energy(spark, source, f"{base}/energy", trigger, preview=True)]
 
 
+class MeterTables:
+    """What the one-pass job keeps: raw lake, pieces of the ward totals, rows that came too late
+    (or without a time), and the console's ledger."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.lake = RunTable(spark, f"{base}/lake", order="timestamp_ms", partition_by=["date", "ward_id"])
+        self.pieces = RunTable(spark, f"{base}/totals", keys=energy.PIECE_KEYS, order="start_ms", combine=energy.PIECE_COMBINE)
+        self.late = RunTable(spark, f"{base}/late", order="timestamp_ms")
+        self.console = Ledger(spark, f"{base}/console")
+
+    def totals(self) -> DataFrame:
+        return energy.totals_of(self.pieces.read())
+
+
+def start_meters_once(spark: SparkSession, source: dict, base: str, trigger=None, window: str = "15 minutes", watermark_ms: int = 120_000,
+                      preview_rows: int = 20) -> StreamingQuery:
+    """Lake, ward totals, late rows and console from one scan and one decode.
+
+    A micro-batch is written to the lake and read back from there by the others. Each sink has the
+    batch's id in its own manifest, so after a crash between two sinks the batch goes on with the
+    ones that lack it (the console may print one twice). A reading is late if its window had ended
+    by the watermark, which is the greatest event time of the batches before less `watermark_ms`;
+    late readings and those without a time are kept with a reason, so each reading is in one total
+    or there. Merges run when all sinks have the batch."""
+    size_ms = energy.window_ms(window)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at = MeterTables(batch.sparkSession, base)
+        at.lake.append(energy.with_lake_columns(batch).select(*LAKE_COLUMNS, "timestamp_ms", "seq"), batch_id)
+        rows = at.lake.since(batch_id - 1)
+        seen = at.lake.reached_before(batch_id)
+        start = F.col("timestamp_ms") - F.pmod("timestamp_ms", F.lit(size_ms))
+        late = F.lit(False) if seen is None else start + size_ms <= seen - watermark_ms
+        reason = F.when(F.col("timestamp_ms").isNull(), quality.BAD_TIME).when(late, quality.LATE)
+        at.pieces.append(energy.ward_pieces(rows.filter(reason.isNull()), window), batch_id)
+        at.late.append(rows.withColumn("error_reason", reason).filter("error_reason IS NOT NULL"), batch_id)
+        at.console.once(batch_id, lambda: sinks.print_batch("smart_meters", preview_rows)(rows, batch_id))
+        for table in (at.lake, at.pieces, at.late):
+            table.maintain()
+
+    return sinks.start_foreach_batch(feed_stream(spark, "smart_meters", source), write, _checkpoint(base), "meters_once", trigger)
+
+
+def meters_once_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> MeterTables:
+    base, _ = _replayed(spark, start_meters_once, source, "meters_once", base, **kw)
+    return MeterTables(spark, base)
+
+
+# ------------------------------------------------------------ bounded drain
+
+def drain_topic(spark: SparkSession, feed_name: str, source: dict, base: str | None = None) -> DataFrame:
+    """Everything a topic holds from where the last drain on this folder ended (at first: from its
+    beginning) to its present end, as a table of records.
+
+    The checkpoint is the ledger of ends, and a micro-batch is kept under its id by a commit that
+    only one of two drains can make: each record is in one drain's result."""
+    if source.get("format") == "kafka":
+        source = source | {"options": {"startingOffsets": "earliest", **source.get("options", {})}}
+    base = base or scratch_path(spark, "drain")
+    table = RunTable(spark, _out(base), order="offset")
+    before = table.last_batch()
+    records = topic_stream(spark, feed_name, source)
+    sinks.run_to_end(sinks.start_foreach_batch(records, lambda batch, i: table.append(batch, i), _checkpoint(base), f"drain_{feed_name}"))
+    if table.last_batch() < 0:
+        return spark.createDataFrame([], records.schema)
+    drained = table.since(before)
+    table.compact()         # the result's runs stay readable for some versions
+    return drained
+
+
 # ------------------------------------------------------------ health advisories
 
 def _minutes(spark: SparkSession, source: dict, watermark: str) -> DataFrame:
@@ -124,32 +198,40 @@ def _minutes(spark: SparkSession, source: dict, watermark: str) -> DataFrame:
             .select("zone", F.unix_millis("w.start").alias("bucket_ms"), "u", "n", "rows"))
 
 
+def advisory_pieces(spark: SparkSession, base: str) -> RunTable:
+    """The pieces' sink: the latest row per zone and minute."""
+    return RunTable(spark, _out(base), keys=["zone", "bucket_ms"], order="bucket_ms")
+
+
 def start_health_advisory(spark: SparkSession, source: dict, base: str, trigger=None, watermark: str = "10 minutes") -> StreamingQuery:
-    """Update mode: each micro-batch writes the pieces it changed and reads nothing back."""
-    return sinks.start_foreach_batch(_minutes(spark, source, watermark), sinks.batch_writer(_out(base)), _checkpoint(base),
+    """Update mode: each micro-batch adds the pieces it changed; merges read some earlier ones."""
+    return sinks.start_foreach_batch(_minutes(spark, source, watermark), advisory_pieces(spark, base).writer(), _checkpoint(base),
                                      "health_advisory", trigger, output_mode="update")
 
 
 def health_advisory_stream(spark: SparkSession, source: dict, base: str | None = None, **kw) -> DataFrame:
     base, _ = _replayed(spark, start_health_advisory, source, "health_advisory", base, **kw)
-    pieces = sinks.latest_per_key(spark, _out(base), ["zone", "bucket_ms"])
-    return advisory.advisories_of(advisory.windows_of(pieces), lookups.zone_profile_side(spark))
+    return advisory.advisories_of(advisory.windows_of(advisory_pieces(spark, base).read()), lookups.zone_profile_side(spark))
 
 
 def start_health_advisory_kafka(spark: SparkSession, source: dict, base: str, kafka_options: dict,
                                 topic: str = "city.health_advisories", trigger=None) -> StreamingQuery:
     """Keyed JSON records in update mode. A micro-batch's changed pieces are joined with
-    the pieces of the windows they touch, and those windows' advisories are published."""
+    the pieces of the windows they touch (only the runs that reach there are opened), and
+    those windows' advisories are published."""
+    table = advisory_pieces(spark, base)
+
     def publish(batch: DataFrame, batch_id: int) -> None:
-        sinks.batch_writer(_out(base))(batch, batch_id)
-        touched = batch.agg(F.min("bucket_ms"), F.max("bucket_ms")).first()
-        if touched[0] is None:
+        table.append(batch, batch_id)
+        touched = [r for r in table.runs() if r["last"] >= batch_id and r["lo"] is not None]
+        if not touched:
             return
         reach = (advisory.WINDOW_MINUTES - 1) * 60_000
-        near = F.col("bucket_ms").between(touched[0] - reach, touched[1] + reach)
-        pieces = sinks.latest_per_key(spark, _out(base), ["zone", "bucket_ms"], near)
-        out = advisory.advisories_of(advisory.windows_of(pieces), lookups.zone_profile_side(spark))
+        near = min(r["lo"] for r in touched) - reach, max(r["hi"] for r in touched) + reach
+        windows = advisory.windows_of(table.read(near)).filter(F.col("window_start_ms").between(near[0], near[1] - reach))
+        out = advisory.advisories_of(windows, lookups.zone_profile_side(spark))
         sinks.publish(advisory.advisory_records(out), topic, kafka_options)
+        table.maintain()
 
     return sinks.start_foreach_batch(_minutes(spark, source, "10 minutes"), publish, _checkpoint(base), "health_advisory_kafka", trigger, "update")
 
@@ -194,20 +276,47 @@ def enrich_stream(spark: SparkSession, source: dict, base: str | None = None) ->
     return _read(spark, base)
 
 
-def start_progress(spark: SparkSession, source: dict, base: str, trigger=None) -> StreamingQuery:
-    """Per-partition message counts of the signals topic as a running
+def _progress_table(spark: SparkSession, base: str) -> RunTable:
+    return RunTable(spark, _out(base), keys=["partition"])
+
+
+def start_progress(spark: SparkSession, source: dict, base: str, trigger=None, group: str = "feed_progress") -> StreamingQuery:
+    """One consumer group on the signals topic: per-partition message counts as a running
     aggregate (update mode), plus observed metrics on the raw records (visible
-    in each micro-batch's progress report)."""
+    in each micro-batch's progress report). `source` has the group's own admission."""
     env = topic_stream(spark, "signals", source).observe(
         "signals_progress", F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset"))
     counts = (env.groupBy("partition")
                  .agg(F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset")))
-    return sinks.start_foreach_batch(counts, sinks.batch_writer(_out(base)), _checkpoint(base), "feed_progress", trigger, "update")
+    return sinks.start_foreach_batch(counts, _progress_table(spark, base).writer(), _checkpoint(base), group, trigger, "update")
 
 
 def progress_stream(spark: SparkSession, source: dict, base: str | None = None) -> DataFrame:
-    base, _ = _replayed(spark, start_progress, source, "feed_progress", base)
-    return progress.group_progress_from_counts(sinks.latest_per_key(spark, _out(base), ["partition"]))
+    """Each group is a job of its own, side by side; a report is due every n messages that it has read."""
+    base = base or scratch_path(spark, "feed_progress")
+    jobs = [(name, n, start_progress(spark, source, f"{base}/{name}", group=name)) for name, n in progress.GROUPS]
+    parts = []
+    for name, n, query in jobs:
+        sinks.run_to_end(query)
+        parts.append(progress.group_progress_from_counts(_progress_table(spark, f"{base}/{name}").read(), [(name, n)]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def lag_stream(spark: SparkSession, source: dict, base: str | None = None, admission: dict[str, int] | None = None) -> DataFrame:
+    """The groups' lag after each micro-batch, from their progress events: (job, batch_id, input_rows,
+    read_rows, behind_rows). `admission`: files a micro-batch, per group."""
+    base, log = base or scratch_path(spark, "lag"), ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        jobs = [start_progress(spark, source | {"max_files_per_trigger": (admission or {}).get(name, source.get("max_files_per_trigger", MOST_FILES))},
+                               f"{base}/{name}", group=name) for name, _ in progress.GROUPS]
+        for query in jobs:
+            sinks.run_to_end(query)
+        log.wait(jobs)
+    finally:
+        spark.streams.removeListener(log)
+    held = spark.read.option("pathGlobFilter", source.get("glob", "events*.parquet")).parquet(source["path"]).count()
+    return rows_behind(log.table(spark), held)
 
 
 # ------------------------------------------------------------ keyed-state detectors

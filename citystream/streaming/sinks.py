@@ -7,7 +7,7 @@ deployment."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,19 +36,29 @@ def start_console(df: DataFrame, checkpoint: str, label: str, trigger: dict | No
     return start_foreach_batch(df, print_batch(label), checkpoint, f"{label}_console", trigger or {"processingTime": "10 seconds"}, output_mode)
 
 
+def _record_sink(topic: str, options: dict) -> tuple[str, dict]:
+    """Format and options of a topic's writer. `"format"` in the options names another sink
+    of records than Kafka; a folder sink writes to `<path>/<topic>`."""
+    rest = {k: v for k, v in options.items() if k not in ("format", "path")}
+    if options.get("format", "kafka") == "kafka":
+        return "kafka", rest | {"topic": topic}
+    return options["format"], rest | {"path": f"{options['path']}/{topic}"}
+
+
 def start_kafka(records: DataFrame, topic: str, checkpoint: str, name: str,
                 kafka_options: dict, trigger: dict | None = None,
                 output_mode: str = "append") -> StreamingQuery:
     """`records` has `value` (and optionally `key`) columns; needs the Kafka connector."""
-    w = (records.writeStream.format("kafka").option("topic", topic)
-         .options(**kafka_options).option("checkpointLocation", checkpoint)
+    form, options = _record_sink(topic, kafka_options)
+    w = (records.writeStream.format(form).options(**options).option("checkpointLocation", checkpoint)
          .outputMode(output_mode).queryName(name))
     return w.trigger(**(trigger or TO_THE_END)).start()
 
 
 def publish(records: DataFrame, topic: str, kafka_options: dict) -> None:
     """Batch form, for a `foreachBatch` function."""
-    records.write.format("kafka").option("topic", topic).options(**kafka_options).save()
+    form, options = _record_sink(topic, kafka_options)
+    records.write.format(form).options(**options).mode("append").save()
 
 
 def batch_writer(path: str, preview_order: list[str] | None = None, form: str = "parquet", options: dict | None = None,
@@ -81,18 +91,6 @@ def start_foreach_batch(df: DataFrame, fn, checkpoint: str, name: str,
     return w.trigger(**(trigger or TO_THE_END)).start()
 
 
-def latest_per_key(spark: SparkSession, path: str, keys: list[str], only: Column | None = None) -> DataFrame:
-    """Read an upsert log written by `batch_writer`: the row of the highest
-    batch_id per key (what a keyed upsert sink would hold), of the rows `only`
-    asks for."""
-    log = spark.read.parquet(path)
-    if only is not None:
-        log = log.filter(only)
-    value_cols = [c for c in log.columns if c not in keys and c != "batch_id"]
-    last = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v"))
-    return last.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
-
-
 def run_to_end(q: StreamingQuery) -> StreamingQuery:
     """Waits for a query that ends by itself (availableNow)."""
     q.awaitTermination()

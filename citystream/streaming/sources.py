@@ -42,7 +42,8 @@ def topic_stream(spark: SparkSession, feed_name: str, source: dict | None = None
 
 
 def topic_batch(spark: SparkSession, feed_name: str, kafka_options: dict) -> DataFrame:
-    """Bounded drain of a topic, from its earliest to its present end."""
+    """Bounded read of a topic, from its earliest to its present end. `jobs.drain_topic`
+    remembers how far it has read."""
     opts = {"subscribe": f"city.{feed_name}", "startingOffsets": "earliest", "endingOffsets": "latest", **kafka_options}
     return spark.read.format("kafka").options(**opts).load()
 
