@@ -548,13 +548,13 @@ def stream_incidents(spark, sf_dir):
 @register("stream_meters_once_totals", _ward_energy_sql(900_000))
 def stream_meters_once_totals(spark, sf_dir):
     """Ward totals of the job that feeds lake, totals, late rows and console from one scan."""
-    return stream_jobs.meters_once_stream(spark, _replay(sf_dir)).totals()
+    return stream_jobs.meters_once_stream(spark, _replay(sf_dir), console=False).totals()
 
 
 @register("stream_meters_once_lake", ORACLE["stream_lake"])
 def stream_meters_once_lake(spark, sf_dir):
     """The same job's lake, through its manifest."""
-    return stream_jobs.meters_once_stream(spark, _replay(sf_dir)).lake.read().drop("event_time", "timestamp_ms", "seq")
+    return stream_jobs.meters_once_stream(spark, _replay(sf_dir), console=False).lake.read().drop("event_time", "timestamp_ms", "seq")
 
 
 @register("drain_quality", ORACLE["dlq_summary"])

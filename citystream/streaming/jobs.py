@@ -132,7 +132,7 @@ class MeterTables:
 
 
 def start_meters_once(spark: SparkSession, source: dict, base: str, trigger=None, window: str = "15 minutes", watermark_ms: int = 120_000,
-                      preview_rows: int = 20) -> StreamingQuery:
+                      console: bool = True, preview_rows: int = 20) -> StreamingQuery:
     """Lake, ward totals, late rows and console from one scan and one decode.
 
     A micro-batch is written to the lake and read back from there by the others. Each sink has the
@@ -153,7 +153,8 @@ def start_meters_once(spark: SparkSession, source: dict, base: str, trigger=None
         reason = F.when(F.col("timestamp_ms").isNull(), quality.BAD_TIME).when(late, quality.LATE)
         at.pieces.append(energy.ward_pieces(rows.filter(reason.isNull()), window), batch_id)
         at.late.append(rows.withColumn("error_reason", reason).filter("error_reason IS NOT NULL"), batch_id)
-        at.console.once(batch_id, lambda: sinks.print_batch("smart_meters", preview_rows)(rows, batch_id))
+        if console:
+            at.console.once(batch_id, lambda: sinks.print_batch("smart_meters", preview_rows)(rows, batch_id))
         for table in (at.lake, at.pieces, at.late):
             table.maintain()
 
