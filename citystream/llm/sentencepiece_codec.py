@@ -8,7 +8,7 @@ the pieces' scores), byte fallback, and the decoder.
 If no piece holds the space marker after another character, no piece can cross
 the place before a run of spaces. A text is then a sequence of chunks (a run of
 spaces and what follows), equal chunks have equal ids, and only chunks that a
-task has not met go to the tokenizer, in one multithreaded batch call, and their ids
+task has not met go to the tokenizer, in one batch call, and their ids
 to its decoder, in another. Models that can't be cut so are encoded and decoded text by text.
 
 Ids and texts are the rebuilt tokenizer's alone. With `parity` the SentencePiece
@@ -21,6 +21,7 @@ an empty result; other columns are ignored. Very long texts are encoded whole.""
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -146,6 +147,7 @@ class Encoded:
 
 class Codec:
     def __init__(self, path: str, threads: int = 2, parity: bool = True):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         self.model, self.threads, self.library = parse(path), threads, None
         if parity:
             import sentencepiece

@@ -1,5 +1,6 @@
 """Token counts, packing and the SentencePiece codec against the libraries themselves."""
 
+import os
 import random
 import struct
 import zlib
@@ -210,3 +211,12 @@ def test_codec_of_odd_rows(spark, docs, none):
         own = library.encode(t or "")
         r = trips[i, len(own)]
         assert r["round_trip"] == ("▁" not in (t or "")) and r["differs"] == 0
+
+
+def test_codec_leaves_the_threads_to_spark(monkeypatch):
+    """The library's own threads cost a quarter more CPU time for the same ids."""
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    codec = sentencepiece_codec.Codec(PIECE, parity=False)
+    before = len(os.listdir("/proc/self/task"))
+    codec.encoded(pa.array([" ".join(f"w{k}x{k * 7}" for k in range(5000))]))
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false" and len(os.listdir("/proc/self/task")) == before
