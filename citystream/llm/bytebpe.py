@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -176,9 +177,10 @@ class Encoder:
         odd = np.flatnonzero(self.holds_special(texts))
         plain = texts if not len(odd) else pc.if_else(pa.array(self.holds_special(texts)), "", texts)
         tokens, offsets = self.cut(plain)
-        known = self.remember(self.seen, tokens.dictionary, tuple)
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        pool = np.fromiter(chain.from_iterable(known), np.uint32, int(size.sum()))
+        # remembered as bytes: a number object for each id would take several times as much
+        known = self.remember(self.seen, tokens.dictionary, lambda ids: array("I", ids).tobytes())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // array("I").itemsize
+        pool = np.frombuffer(b"".join(known), np.uint32)
         which = np.asarray(tokens.indices)
         lengths = size[which]
         ids = pool[A.ragged((np.cumsum(size) - size)[which], lengths)]

@@ -13,11 +13,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from citystream.llm import exact_dedup, language_id, packing, queries, simhash, substring_dedup
-from citystream.session import scratch_path
+from citystream.session import bounded_batches, scratch_path
 from citystream.sources.tables import table
 
 
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return language_id.identified(docs, language_id.fitted(docs))
 
 
@@ -26,14 +27,17 @@ def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return simhash.first_of_groups(docs, queries.SHINGLE_WORDS, queries.MOST_BITS)
 
 
 def substring_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return substring_dedup.deduplicated(docs, queries.WINDOW_WORDS, length_col="n_chars")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return packing.pack(docs, public_tokenizers.path(queries.BYTE_BPE), queries.SEQUENCE)
 
 
