@@ -5,6 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 from citystream import session
 from citystream.llm import bytebpe
+from citystream.streaming import jobs, stateful
 
 
 def test_pipeline_stages_send_arrow_batches_of_bounded_bytes(spark):
@@ -40,3 +41,21 @@ def test_remembered_ids_are_no_number_objects():
     ids, ends = encoder.ids(texts)
     assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == encoder.encode(texts.to_pylist())
     assert encoder.seen and all(isinstance(v, bytes) for v in encoder.seen.values())
+
+
+def test_state_stores_share_bounded_memory(spark):
+    bounded, most = (f"spark.sql.streaming.stateStore.rocksdb.{c}" for c in ("boundedMemoryUsage", "maxMemoryUsageMB"))
+    with jobs._rocksdb_state(spark):
+        assert (spark.conf.get(bounded), spark.conf.get(most)) == ("true", str(jobs.STATE_MB))
+    assert not {bounded, most, jobs.STATE_PROVIDER_CONF} & set(spark.conf.getAll)
+    spark.conf.set(bounded, "false")
+    try:
+        with jobs._rocksdb_state(spark):
+            assert spark.conf.get(bounded) == "false"
+        assert spark.conf.get(bounded) == "false"
+    finally:
+        spark.conf.unset(bounded)
+
+
+def test_pair_fold_keeps_no_columns_of_alerts():
+    assert not {"bus_1", "bus_2", "route_id", "bucket"} & set(stateful.TOLD)
