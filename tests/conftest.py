@@ -14,3 +14,12 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def no_bound_is_left(request):
+    """Pipeline stages bound the session's Arrow batches; the next test begins without."""
+    yield
+    if "spark" in request.fixturenames:
+        from citystream.session import ARROW_BYTES_CONF
+        request.getfixturevalue("spark").conf.unset(ARROW_BYTES_CONF)
