@@ -356,9 +356,13 @@ def test_alerts_of_a_depot_are_told_as_lists():
     import pandas as pd
     from citystream.streaming import stateful as S
     n = 200
-    seq = np.arange(3 * n)
-    feed = pd.DataFrame({"bus_id": [f"B{b:03d}" for b in seq % n], "seq": seq, "timestamp_ms": seq * 4000, "lat": np.where(seq < 2 * n, 1.0, 2.0 + seq), "lon": 10.0, "was_lat": np.where(seq < n, np.nan, 1.0),
-                         "was_lon": np.where(seq < n, np.nan, 10.0), "ordinal": seq // n + 1, "here": seq < 2 * n, "asked": True, "left": seq >= n})
+    seq = np.arange(5 * n)
+    bus, turn = seq % n, seq // n
+    # every bus is away in the second and the last turn
+    lat = np.where(turn % 3 == 1, 1.0 + 0.004 * (bus + 1), 1.0)
+    was = np.where(turn == 0, np.nan, np.where(turn % 3 == 2, 1.0 + 0.004 * (bus + 1), 1.0))
+    feed = pd.DataFrame({"bus_id": [f"B{b:03d}" for b in bus], "seq": seq, "timestamp_ms": seq * 4000, "lat": lat, "lon": 10.0, "was_lat": was, "was_lon": np.where(np.isnan(was), np.nan, 10.0),
+                         "ordinal": turn + 1, "here": True, "asked": True, "left": turn > 0})
     watch, fold = S.TileWatch(), S.PairFold()
     watch.init(Handle())
     fold.init(Handle())
